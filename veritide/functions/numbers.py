@@ -16,9 +16,11 @@ def to_number(value: Column) -> Column:
     """The text as a double, null where it is no number.
 
     The pattern keeps out what Spark's cast takes and a CSV reader does not (``5d``, ``0x1p3``,
-    ``NaN``). Digits beyond the range of a double give infinity; see ``is_number``.
+    ``NaN``); most other text is ruled out by its first byte. Digits beyond the range of a double
+    give infinity; see ``is_number``.
     """
-    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+    starts_like_one = (value < ":") | value.startswith("i") | value.startswith("I")
+    return F.when(starts_like_one & value.rlike(NUMBER), value.try_cast("double"))
 
 
 def is_number(value: Column, number: Column) -> Column:
@@ -26,8 +28,10 @@ def is_number(value: Column, number: Column) -> Column:
     return number.isNotNull() & ((F.abs(number) <= LARGEST) | ~value.rlike("[0-9]"))
 
 
-def is_integer_text(value: Column) -> Column:
-    return value.rlike(INTEGER) & value.try_cast("bigint").isNotNull()
+def is_integer(value: Column, number: Column) -> Column:
+    """Whether ``number``, read from ``value``, is written as an integer of 64 bits."""
+    fits = value.try_cast("bigint").isNotNull()
+    return number.isNotNull() & value.rlike(INTEGER) & fits
 
 
 def is_boolean_text(value: Column) -> Column:

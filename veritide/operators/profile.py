@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from veritide import contract
 from veritide.contract import KEY, ROW_ID
 from veritide.functions.dates import age_in_years, in_timestamp_range, read_iso_date, resolve_as_of
-from veritide.functions.numbers import is_boolean_text, is_integer_text, is_number, percent, to_number
+from veritide.functions.numbers import is_boolean_text, is_integer, is_number, percent, to_number
 from veritide.functions.text import matches_canonical_phone, matches_iso_shape
 from veritide.operators.reshape import hold_row, long_form
 
@@ -66,7 +66,7 @@ def type_measures(table: DataFrame, columns: list[str]) -> dict[str, Column]:
             continue
         value, number = F.col(c), F.col(f"number__{c}")
         readable = {
-            "int": number.isNotNull() & is_integer_text(value),
+            "int": is_integer(value, number),
             "num": is_number(value, number),
             "bool": is_boolean_text(value),
         }

@@ -16,4 +16,4 @@ def long_form(one_row: DataFrame, names: list[str], rows: Iterable[list[Column]]
 
 def hold_row(one_row: DataFrame) -> DataFrame:
     """Evaluate a one-row frame now and keep the row, so that what is cut from it costs nothing."""
-    return one_row.sparkSession.createDataFrame([one_row.first()], one_row.schema)
+    return one_row.sparkSession.createDataFrame(one_row.toArrow(), one_row.schema)

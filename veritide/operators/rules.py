@@ -34,20 +34,18 @@ class Rule(NamedTuple):
     def name(self) -> str:
         return f"{self.column}__{self.check}"
 
-    def inputs(self) -> dict[str, Column]:
-        """What the verdict is made from; rules on one column share these, evaluated once a row."""
-        value = F.col(self.column)
-        read = {f"{self.reads.__name__}__{self.column}": self.reads(value)} if self.reads else {}
-        return {f"is_present__{self.column}": is_present(value), **read}
+    @property
+    def reading(self) -> str:
+        """Name of the column that holds the value as read; rules with the same reader share it."""
+        return f"{self.reads.__name__}__{self.column}" if self.reads else self.column
 
     def verdict(self) -> Column:
         """True where the row passes. Blanks fail ``required`` only, and nulls no rule at all."""
-        present, value = F.col(f"is_present__{self.column}"), F.col(self.column)
+        present = F.col(f"is_present__{self.column}")
         if self.check == REQUIRED:
             return F.coalesce(present, F.lit(True))
-        read = F.col(f"{self.reads.__name__}__{self.column}") if self.reads else value
-        judged = F.coalesce(self.holds(read), F.lit(False))
-        return F.when(present, judged).otherwise(F.lit(True))
+        holds = self.holds(F.col(self.reading))
+        return F.when(present, F.coalesce(holds, F.lit(False))).otherwise(F.lit(True))
 
 
 def positive_integer(number: Column) -> Column:
@@ -58,9 +56,10 @@ def valid_name(value: Column) -> Column:
     return matches_name(value) & F.length(value).between(*contract.NAME_LENGTH)
 
 
-def plausible_age(as_of: Column) -> Callable[[Column], Column]:
+def plausible_age(as_of: dt.date | Column | None) -> Callable[[Column], Column]:
     def holds(day: Column) -> Column:
-        return in_timestamp_range(day) & age_in_years(day, as_of).between(*contract.AGE_RANGE)
+        age = age_in_years(day, resolve_as_of(as_of))
+        return in_timestamp_range(day) & age.between(*contract.AGE_RANGE)
 
     return holds
 
@@ -79,7 +78,7 @@ def valid_status(value: Column) -> Column:
 
 def customer_rules(as_of: dt.date | Column | None = None) -> list[Rule]:
     """The 22 checks of the customer table; ages are taken at ``as_of``."""
-    age = plausible_age(resolve_as_of(as_of))
+    age = plausible_age(as_of)
     others = [
         Rule("customer_id", "positive_integer", positive_integer, to_number),
         Rule("customer_id", UNIQUE),

@@ -81,11 +81,14 @@ def with_inputs(table: DataFrame, verdicts: dict[Rule, Column]) -> DataFrame:
 
     A parsed date or number serves several conditions; as a column it is parsed once per row.
     """
-    inputs = {}
-    for rule in verdicts:
-        if rule.check != NOT_NULL:
-            inputs.update(rule.inputs())
-    return table.select("*", *[made.alias(name) for name, made in inputs.items()])
+    judged = [rule for rule in verdicts if rule.check != NOT_NULL]
+    columns = dict.fromkeys(rule.column for rule in judged)
+    readers = {rule.reading: rule for rule in judged if rule.reads}
+    return table.select(
+        "*",
+        *[is_present(F.col(c)).alias(f"is_present__{c}") for c in columns],
+        *[rule.reads(F.col(rule.column)).alias(name) for name, rule in readers.items()],
+    )
 
 
 def _all_hold(rules) -> Column:

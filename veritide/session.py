@@ -17,6 +17,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Looking up the caller of every column expression costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # HotSpot does not compile methods above this size; Spark then goes operator by operator.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
