@@ -6,6 +6,7 @@ from conftest import AS_OF
 from pyspark.errors import AnalysisException
 
 from veritide import contract
+from veritide.__main__ import main
 from veritide.plans.job import STAGES, run_job
 from veritide.sources.tables import read_csv, write_csv
 from veritide.streaming.daily import mask_new_files
@@ -42,6 +43,7 @@ def test_failure_is_reported_and_raised(spark, tmp_path):
     stages = spark.read.json(str(tmp_path / "out/execution/stages")).collect()
     assert [(s.stage, s.status) for s in stages] == [("sense_raw_data", "FAILED")]
     assert "PATH_NOT_FOUND" in stages[0].error
+    assert spark.read.json(str(tmp_path / "out/execution/run")).first().status == "FAILED"
 
 
 def test_failure_halts_the_later_stages(spark, tmp_path, customers, valid_rows):
@@ -68,3 +70,12 @@ def test_job_agrees_with_the_csv_it_writes(spark, tmp_path, raw_at):
     by_file = run_job(spark, str(tmp_path / "raw"), str(tmp_path / "a"), AS_OF)
     by_table = run_job(spark, raw, str(tmp_path / "b"), AS_OF)
     assert [s.details for s in by_file.stages] == [s.details for s in by_table.stages]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    main(["generate", str(tmp_path / "raw"), "--rows", "30", "--seed", "3"])
+    raw = read_csv(spark, str(tmp_path / "raw"))
+    assert raw.count() == 30
+    assert raw.columns[:-1] == contract.COLUMNS
+    main(["run", str(tmp_path / "raw"), str(tmp_path / "out"), "--as-of", "2026-01-01"])
+    assert capsys.readouterr().out.count("SUCCESS") == 6

@@ -121,19 +121,22 @@ def before_after(
     raw: DataFrame, cleaned: DataFrame, rules: list[Rule]
 ) -> tuple[DataFrame, DataFrame]:
     """The validation summary of both tables by phase, and the failures per check side by side."""
-    return compare_totals(check_totals(raw, rules), check_totals(cleaned, rules))
+    before, after = check_totals(raw, rules), check_totals(cleaned, rules)
+    summaries = summarize(before), summarize(after)
+    return compare_summaries(*summaries), compare_checks(failed_checks(before), failed_checks(after))
 
 
-def compare_totals(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
-    summaries = [
-        summarize(totals).select(F.lit(phase).alias("phase"), "*")
-        for phase, totals in (("before", before), ("after", after))
-    ]
+def compare_summaries(before: DataFrame, after: DataFrame) -> DataFrame:
+    phases = [s.select(F.lit(p).alias("phase"), "*") for p, s in (("before", before), ("after", after))]
+    return phases[0].unionByName(phases[1])
+
+
+def compare_checks(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``column, check, before_count, after_count`` of the checks that fail before or after."""
+    keys = ["column", "check"]
     counts = [
-        failed_checks(totals).withColumnRenamed("failure_count", name)
-        for totals, name in ((before, "before_count"), (after, "after_count"))
+        checks.select(*keys, F.col("failure_count").alias(name))
+        for name, checks in (("before_count", before), ("after_count", after))
     ]
-    by_check = counts[0].join(counts[1], ["column", "check"], "full")
-    return summaries[0].unionByName(summaries[1]), by_check.fillna(
-        0, ["before_count", "after_count"]
-    )
+    both = counts[0].join(counts[1], keys, "full")
+    return both.fillna(0, ["before_count", "after_count"])

@@ -222,6 +222,29 @@ def failed_checks(totals: DataFrame) -> DataFrame:
     return long_form(totals, ["column", "check", "failure_count"], rows).filter("failure_count > 0")
 
 
+def summarize_failures(failures: DataFrame, row_count: int) -> DataFrame:
+    """The summary of a table of ``row_count`` rows from its failures.
+
+    With the failures written, this spares judging the table again: only the row numbers of rows
+    that fail are shuffled, once per task.
+    """
+    found = failures.agg(
+        F.count_distinct(ROW_ID).alias("invalid_row_count"), F.count("*").alias("failures")
+    )
+    return found.select(
+        F.lit(row_count).cast("bigint").alias("row_count"),
+        "invalid_row_count",
+        percent(F.col("invalid_row_count"), F.lit(row_count)).alias("invalid_pct"),
+        (F.col("failures") == 0).alias("is_valid"),
+    )
+
+
+def count_failures(failures: DataFrame) -> DataFrame:
+    """``column, check, failure_count, sample_row_ids`` from the failures."""
+    counts = failures.groupBy("column", "check").agg(F.count("*").alias("failure_count"))
+    return counts.join(failure_samples(failures), ["column", "check"], "left")
+
+
 def failure_samples(failures: DataFrame, size: int = SAMPLE_ROWS) -> DataFrame:
     """The first rows of each failed check, by row number.
 

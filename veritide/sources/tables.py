@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritide import contract
 
+CONCURRENT_JOBS = 4
 # The quote is doubled inside quotes, and nothing is trimmed.
 CSV_DIALECT = {
     "header": True,
@@ -24,8 +27,8 @@ def read_csv(
     """A CSV with a header as text columns, blank for an empty cell.
 
     Columns go by the header, so their order does not matter. ``row_id`` names a key column of the
-    file; without one the rows are numbered, in file order but with gaps. ``multi_line`` allows line
-    breaks inside quotes, at the price of one task per file.
+    file; without one the rows are numbered, in the order they have in their file but with gaps.
+    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
     table = (
         spark.read.options(**CSV_DIALECT)
@@ -97,10 +100,15 @@ def write_table(table: DataFrame, path: str) -> DataFrame:
 
 
 def write_metrics(frames: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write each metric frame as JSON under its name, and give back the written ones."""
-    written = {}
-    for name, frame in frames.items():
+    """Write each metric frame as JSON under its name, and give back the written ones.
+
+    The frames do not depend on each other, so their jobs are submitted side by side.
+    """
+
+    def write(name: str) -> DataFrame:
+        frame = frames[name]
         frame.write.mode("overwrite").json(f"{folder}/{name}")
-        read = frame.sparkSession.read.schema(frame.schema)
-        written[name] = read.json(f"{folder}/{name}")
-    return written
+        return frame.sparkSession.read.schema(frame.schema).json(f"{folder}/{name}")
+
+    with ThreadPoolExecutor(max_workers=CONCURRENT_JOBS) as pool:
+        return dict(zip(frames, pool.map(write, frames)))
