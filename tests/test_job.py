@@ -79,3 +79,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert raw.columns[:-1] == contract.COLUMNS
     main(["run", str(tmp_path / "raw"), str(tmp_path / "out"), "--as-of", "2026-01-01"])
     assert capsys.readouterr().out.count("SUCCESS") == 6
+
+
+def test_stored_table_is_not_copied(spark, tmp_path, raw_at):
+    raw_at("0.001").write.parquet(str(tmp_path / "table"))
+    table = spark.read.parquet(str(tmp_path / "table"))
+    report = run_job(spark, table, str(tmp_path / "out"), AS_OF, stored=True)
+    assert report.stages[3].details == {"invalid_row_count": 70, "row_count": 150}
+    assert not (tmp_path / "out/raw").exists()
+    with pytest.raises(ValueError):
+        run_job(spark, table.drop("row_id"), str(tmp_path / "no"), AS_OF, stored=True)

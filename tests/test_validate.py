@@ -117,6 +117,22 @@ def test_nulls_fail_not_null_only(spark, customers, valid_rows):
     assert counts(spark.createDataFrame(rows, fields)) == {"phone.not_null": 1}
 
 
+def test_own_rules_and_readers(customers, valid_rows):
+    rules = [
+        Rule("email", "ends_in_org", lambda v: v.endswith(".org")),
+        Rule("income", "above", lambda n: n > 100, lambda v: v.try_cast("double")),
+        Rule("income", "short", lambda n: n < 6, lambda v: F.length(v)),
+    ]
+    table = customers(*edited(valid_rows, email="nora@a.com"))
+    assert counts(table, rules) == {"email.ends_in_org": 1, "income.above": 1, "income.short": 1}
+
+
+def test_written_failures_give_the_same_reports(raw_at):
+    result = validate.validate(raw_at("0.001"), RULES)
+    assert validate.summarize_failures(result.failures, 150).collect() == result.summary.collect()
+    assert sorted(validate.count_failures(result.failures).collect()) == sorted(result.by_check.collect())
+
+
 def test_two_keys_are_refused(customers, valid_rows):
     with pytest.raises(ValueError):
         validate.check_totals(customers(*valid_rows), [*RULES, Rule("email", "unique")])

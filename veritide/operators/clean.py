@@ -88,7 +88,7 @@ def missing_counts(strategy: dict[str, str] = contract.MISSING_STRATEGY) -> dict
 
 def log_of(logged: DataFrame, strategy: dict[str, str] = contract.MISSING_STRATEGY) -> DataFrame:
     rows = [
-        [*[F.lit(part) for part in name.split("__")], F.col(name)]
+        [*[F.lit(part) for part in name.split("__", 1)], F.col(name)]
         for name in missing_counts(strategy)
     ]
     return long_form(logged, ["action", "column", "n"], rows).filter("n > 0")
@@ -123,12 +123,13 @@ def before_after(
     """The validation summary of both tables by phase, and the failures per check side by side."""
     before, after = check_totals(raw, rules), check_totals(cleaned, rules)
     summaries = summarize(before), summarize(after)
-    return compare_summaries(*summaries), compare_checks(failed_checks(before), failed_checks(after))
+    checks = failed_checks(before), failed_checks(after)
+    return compare_summaries(*summaries), compare_checks(*checks)
 
 
 def compare_summaries(before: DataFrame, after: DataFrame) -> DataFrame:
-    phases = [s.select(F.lit(p).alias("phase"), "*") for p, s in (("before", before), ("after", after))]
-    return phases[0].unionByName(phases[1])
+    first = before.select(F.lit("before").alias("phase"), "*")
+    return first.unionByName(after.select(F.lit("after").alias("phase"), "*"))
 
 
 def compare_checks(before: DataFrame, after: DataFrame) -> DataFrame:

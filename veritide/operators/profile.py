@@ -137,7 +137,7 @@ def completeness(table: DataFrame) -> DataFrame:
 
 
 def type_profile(table: DataFrame) -> DataFrame:
-    """``column, expected_type, actual_dtype, matches_expected``, the dtype as a reader infers it."""
+    """``column, expected_type, actual_dtype, matches_expected``, with the dtype a reader infers."""
     columns = [c for c in contract.COLUMNS if c in table.columns]
     measures = {**missing_measures(table, columns), **type_measures(table, columns)}
     return types_of(measure(table, measures, reads(table, columns)), table.schema)
@@ -207,8 +207,8 @@ def _dtype(field: T.StructField) -> Column:
 
 
 def issues_of(measured: DataFrame) -> DataFrame:
-    named = [c for c in measured.columns if c != "row_count" and c.count("__") == 1]
-    rows = [[*[F.lit(part) for part in name.split("__")], F.col(name)] for name in named]
+    named = [c for c in measured.columns if c != "row_count"]
+    rows = [[*[F.lit(part) for part in name.split("__", 1)], F.col(name)] for name in named]
     return long_form(measured, ["issue", "column", "row_count"], rows)
 
 
@@ -315,19 +315,14 @@ def quality_report(
     """
     taken = hold_row(quality_measures(table, as_of))
     as_number = taken.first()[f"num__{KEY}"] if _is_text(table, KEY) else None
-    prefixes = ("missing__", "int__", "num__", "bool__", "date__")
-    formats = ("non_canonical__", "non_iso__")
-    issues = [c for c in taken.columns if not c.startswith(prefixes)]
     return {
         "completeness": completeness_of(taken, data_columns(table)),
         "types": types_of(taken, table.schema),
-        "format_issues": issues_of(taken.select([c for c in issues if c.startswith(formats)])),
+        "format_issues": issues_of(taken.select(*format_measures())),
         "noncanonical_phones": noncanonical_phones(table),
         "uniqueness": uniqueness(table, as_number=as_number),
         "repeated_key_sample": repeated_key_sample(table, as_number=as_number),
-        "invalid_values": issues_of(
-            taken.select([c for c in issues if not c.startswith(formats)])
-        ),
+        "invalid_values": issues_of(taken.select(*invalid_measures(as_of))),
         "status_counts": status_counts(table),
         "invalid_statuses": invalid_statuses(table),
     }

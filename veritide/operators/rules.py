@@ -37,7 +37,7 @@ class Rule(NamedTuple):
     @property
     def reading(self) -> str:
         """Name of the column that holds the value as read; rules with the same reader share it."""
-        return f"{self.reads.__name__}__{self.column}" if self.reads else self.column
+        return f"read_{id(self.reads):x}__{self.column}" if self.reads else self.column
 
     def verdict(self) -> Column:
         """True where the row passes. Blanks fail ``required`` only, and nulls no rule at all."""

@@ -127,8 +127,8 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
         .filter(place.isNotNull())
         .select(
             ROW_ID,
-            F.element_at(F.array(*[F.lit(rule.column) for rule in verdicts]), place).alias("column"),
-            F.element_at(F.array(*[F.lit(rule.check) for rule in verdicts]), place).alias("check"),
+            _name_at(place, [rule.column for rule in verdicts]).alias("column"),
+            _name_at(place, [rule.check for rule in verdicts]).alias("check"),
             _value_at(place, verdicts).alias("failure_case"),
         )
     )
@@ -150,6 +150,10 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
     return found
 
 
+def _name_at(place: Column, names: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(name) for name in names]), place)
+
+
 def _value_at(place: Column, rules) -> Column:
     """The value of the column that the rule at ``place`` judges."""
     places: dict[str, list[int]] = {}
@@ -216,7 +220,7 @@ def summarize(totals: DataFrame) -> DataFrame:
 def failed_checks(totals: DataFrame) -> DataFrame:
     """``column, check, failure_count`` of the checks that fail."""
     rows = [
-        [*[F.lit(part) for part in name.split("__")], count]
+        [*[F.lit(part) for part in name.rsplit("__", 1)], count]
         for name, count in _counts(totals).items()
     ]
     return long_form(totals, ["column", "check", "failure_count"], rows).filter("failure_count > 0")

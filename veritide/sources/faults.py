@@ -16,8 +16,12 @@ from veritide import contract
 from veritide.contract import COLUMNS, KEY, ROW_ID
 from veritide.functions.dates import resolve_as_of
 
-FIRST_NAMES = ["Ada", "Bruno", "Carla", "Dmitri", "Elena", "Farid", "Greta", "Hugo", "Ines", "Jonas"]
-LAST_NAMES = ["Abbott", "Bauer", "Castro", "Dahl", "Evans", "Fischer", "Grant", "Haddad", "Ito", "Jensen"]
+FIRST_NAMES = [
+    "Ada", "Bruno", "Carla", "Dmitri", "Elena", "Farid", "Greta", "Hugo", "Ines", "Jonas",
+]
+LAST_NAMES = [
+    "Abbott", "Bauer", "Castro", "Dahl", "Evans", "Fischer", "Grant", "Haddad", "Ito", "Jensen",
+]
 MAIL_DOMAINS = ["mail.example.com", "post.example.org", "inbox.example.net"]
 STREETS = ["Harbour Street", "Mill Lane", "Station Road", "Garden Avenue", "Castle Hill"]
 TOWNS = ["Northfield", "Westbrook", "Easton", "Southport"]
@@ -75,8 +79,9 @@ def with_draws(
     is a projection of its own, as its operand is used twice.
     """
     constants = {f"{prefix}{p}": draw_constants(p, seed) for p in purposes}
+    number = F.col(row) % PRIME
     return (
-        table.withColumns({c: (F.col(row) % PRIME * f + o) % PRIME for c, (f, o) in constants.items()})
+        table.withColumns({c: (number * f + o) % PRIME for c, (f, o) in constants.items()})
         .withColumns({c: (F.col(c) * F.col(c) + f) % PRIME for c, (f, _) in constants.items()})
         .withColumns({c: (F.col(c) * F.col(c) + o) % PRIME for c, (_, o) in constants.items()})
     )
@@ -210,12 +215,12 @@ def clean_columns(numbered: DataFrame, as_of: Column) -> DataFrame:
 
 def other_layout(table: DataFrame, purpose: str) -> DataFrame:
     """Add ``other_phone``: one of five layouts of the phone's digits, of new ones without any."""
-    digits = F.regexp_replace("phone", "[^0-9]", "")
-    found = table.withColumn("digits", digits).withColumn(
-        "digits",
-        F.when(F.col("digits") != "", F.col("digits")).otherwise(F.concat("area", "exchange", "line")),
+    digits, new = F.col("digits"), F.concat("area", "exchange", "line")
+    found = table.withColumn("digits", F.regexp_replace("phone", "[^0-9]", "")).withColumn(
+        "digits", F.when(digits != "", digits).otherwise(new)
     )
-    area, exchange, line = (F.substring("digits", start, n) for start, n in ((1, 3), (4, 3), (7, 4)))
+    area, exchange = F.substring(digits, 1, 3), F.substring(digits, 4, 3)
+    line = F.substring(digits, 7, 4)
     layouts = [
         ["(", area, ") ", exchange, "-", line],
         [area, ".", exchange, ".", line],
@@ -233,11 +238,8 @@ def other_layout(table: DataFrame, purpose: str) -> DataFrame:
 
 def _other_format(day: str) -> Column:
     place = F.col("draw_sample") % len(OTHER_DATE_FORMATS)
-    return reduce(
-        lambda rest, i: F.when(place == i, F.date_format(day, OTHER_DATE_FORMATS[i])).otherwise(rest),
-        range(len(OTHER_DATE_FORMATS)),
-        F.lit(None),
-    )
+    texts = [F.date_format(day, form) for form in OTHER_DATE_FORMATS]
+    return F.coalesce(*[F.when(place == i, text) for i, text in enumerate(texts)])
 
 
 def _faulty_columns(as_of: Column) -> dict[str, Column]:
