@@ -27,15 +27,17 @@ LAST_DATE = dt.date(2262, 4, 11)
 
 def read_iso_date(value: Column) -> Column:
     """The text as a date, null if it is none. The cast needs no formatter and no time zone."""
-    return F.when(value.rlike(ISO_SHAPE), F.translate(value, " ", "")).try_cast("date")
+    return _shaped(value, ISO_SHAPE).try_cast("date")
+
+
+def _shaped(value: Column, shape: str) -> Column:
+    """Text of the shape, with a zero for the space that may stand before a one-digit day."""
+    return F.when(value.rlike(shape), F.replace(value, F.lit(" "), F.lit("0")))
 
 
 def read_any_date(value: Column) -> Column:
     """The first of the known formats that reads the text."""
-    others = [
-        F.try_to_date(F.when(value.rlike(shape), F.translate(value, " ", "")), pattern)
-        for shape, pattern in OTHER_FORMATS
-    ]
+    others = [F.try_to_date(_shaped(value, shape), pattern) for shape, pattern in OTHER_FORMATS]
     return F.coalesce(read_iso_date(value), *others)
 
 

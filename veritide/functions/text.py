@@ -52,7 +52,8 @@ def title_case(value: Column) -> Column:
     """Capitalise every run of letters: ``o'brien`` becomes ``O'Brien``, ``j0hn`` ``J0Hn``.
 
     ``initcap`` starts a word only after a space. So a space goes in after each character without
-    case, and comes out again afterwards.
+    case, and comes out again afterwards. A single plain word, as most names are, needs neither.
     """
     spaced = F.regexp_replace(value, f"([^{CASED}])", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), f"([^{CASED}]) ", "$1")
+    respaced = F.regexp_replace(F.initcap(spaced), f"([^{CASED}]) ", "$1")
+    return F.when(value.rlike(r"^[A-Za-z]+\z"), F.initcap(value)).otherwise(respaced)
