@@ -115,7 +115,25 @@ def _job_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.frame(spark).select("stage", F.explode("details").alias("metric", "value"))
 
 
+def _corpus():
+    """The modules of the corpus operators, or None where they aren't installed."""
+    try:
+        import corpus_pipeline
+        from veritide.llm import queries as corpus
+    except ImportError:
+        return None
+    return corpus, corpus_pipeline
+
+
 def queries() -> dict[str, Query]:
+    own = _customer_queries()
+    if found := _corpus():
+        corpus, pipeline = found
+        own |= corpus.queries() | {"pipeline": pipeline.run}
+    return own
+
+
+def _customer_queries() -> dict[str, Query]:
     return {
         # Sources
         "raw_scan": _on_raw(lambda raw: tables.customer_columns(raw)),
@@ -174,4 +192,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.all_oracles()
+    own = oracles.all_oracles()
+    if found := _corpus():
+        corpus, pipeline = found
+        own |= corpus.oracle_sql() | ({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})
+    return own

@@ -16,11 +16,14 @@ def con():
     return connect(SF_DIR)
 
 
+CUSTOMER = [name for name in QUERIES if name != "pipeline" and not name.startswith("op")]
+
+
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(CUSTOMER) <= set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_oracle(spark, con, name):
     columns, expected_columns, rows, expected = compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name])
     assert columns == expected_columns
