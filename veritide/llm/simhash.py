@@ -98,20 +98,21 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         raise ValueError("distances from 0 to 3 are supported: balls grow with 64 to half the distance")
     flipped = F.col("print").bitwiseXOR(F.col("mask")).alias("variant")
     near = prints.select("print", F.explode(F.lit(_ball(distance))).alias("mask")).select("print", flipped)
-    hubs = near.groupBy("variant").agg(F.min("print").alias("hub"), F.max("print").alias("top"))
-    inner = near.join(hubs.where("hub != top"), "variant").select("hub", "print")
-    found = inner
+    # One shuffle serves the hubs and both kinds of links.
+    own = Window.partitionBy("variant")
+    hubs = near.repartition("variant").withColumn("hub", F.min("print").over(own))
+    found = hubs.select("hub", "print")
     if distance % 2:
-        even = F.bit_count("print") % 2 == 0
         far = (
-            prints.where(even)
+            prints.where(F.bit_count("print") % 2 == 0)
             .select("print", F.explode(F.lit(_outer(distance))).alias("mask"))
             .select("print", flipped)
         )
         # Two flips keep an even fingerprint even, one flip makes it odd.
-        meeting = hubs.where(F.bit_count("variant") % 2 == (1 if distance == 1 else 0))
+        parity = 1 if distance == 1 else 0
+        meeting = hubs.where("hub = print").where(F.bit_count("variant") % 2 == parity)
         outer = far.join(meeting.select("variant", "hub").hint("shuffle_hash"), "variant")
-        found = inner.unionAll(outer.select("hub", "print"))
+        found = found.unionAll(outer.select("hub", "print"))
     apart = F.bit_count(F.col("hub").bitwiseXOR(F.col("print")))
     return found.where("hub != print").distinct().where(apart <= distance)
 
