@@ -6,7 +6,8 @@ distance 3 the two have different parity, so only even fingerprints have to emit
 and of any three bits two lie in the same half, so pairs within a half are enough: 992 of 2016.
 
 Fingerprints are made distinct first, so a group of copies of any size emits one ball, and a variant
-is emitted by at most 65 fingerprints at radius 1: no key is hot. All fingerprints that meet in a
+is emitted by at most 65 fingerprints at radius 1: no key is hot. Variants that share a half are
+shuffled as one row, by that half, and made where they meet. All fingerprints that meet in a
 variant are linked to the smallest one of its radius-1 ball (at most 1 + 2 bits away), which keeps
 every component whole with no pairs of a group emitted. Links are made distinct and verified.
 
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritide.llm.common import col, settled
+from veritide.llm.common import col, setting, settled
 from veritide.llm.components import components
 
 WORDS = 3
@@ -77,18 +78,6 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _ball(distance: int) -> list[int]:
-    return [0] + ([_signed(1 << i) for i in range(64)] if distance >= 2 else [])
-
-
-def _outer(distance: int) -> list[int]:
-    """What even fingerprints flip at odd distances."""
-    if distance == 1:
-        return [_signed(1 << i) for i in range(64)]
-    halves = [range(32), range(32, 64)]
-    return [_signed(1 << i | 1 << j) for half in halves for i, j in itertools.combinations(half, 2)]
-
-
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Pairs ``hub``, ``print`` of the distinct fingerprints in column ``print``.
 
@@ -96,25 +85,59 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("distances from 0 to 3 are supported: balls grow with 64 to half the distance")
-    flipped = F.col("print").bitwiseXOR(F.col("mask")).alias("variant")
-    near = prints.select("print", F.explode(F.lit(_ball(distance))).alias("mask")).select("print", flipped)
-    # One shuffle serves the hubs and both kinds of links.
-    own = Window.partitionBy("variant")
-    hubs = near.repartition("variant").withColumn("hub", F.min("print").over(own))
-    found = hubs.select("hub", "print")
+    low, high = range(32), range(32, 64)
+    found = _met(prints, low, high, distance, inner=True)
+    if distance == 3:
+        found = found.unionAll(_met(prints, high, low, distance, inner=False))
+    apart = F.bit_count(F.col("hub").bitwiseXOR(F.col("print")))
+    return found.where("hub != print").distinct().where(apart <= distance)
+
+
+def _met(prints: DataFrame, own: range, other: range, distance: int, *, inner: bool) -> DataFrame:
+    """Links by variants whose bits of the half ``own`` were flipped, or one bit of either half.
+
+    Variants are dealt by their ``other`` half. All variants that flip bits of ``own`` alone share it, so
+    they travel as one row and are made where they meet.
+    """
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ball = [_signed(1 << i) for i in own] if distance >= 2 else []
+    across = [_signed(1 << i) for i in other] if distance >= 2 else []
+
+    def other_half(code: Column) -> Column:
+        whole = F.lit((1 << 32) - 1)
+        return F.shiftrightunsigned(code, 32) if other[0] else code.bitwiseAND(whole)
+
+    def dealt(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("half", other_half(F.col("code"))).repartition(partitions, "half")
+
+    def variants(frame: DataFrame, masks: Column) -> DataFrame:
+        made = frame.select("print", "code", "half", F.explode(masks).alias("flip"))
+        return made.select("print", "half", F.col("code").bitwiseXOR(F.col("flip")).alias("variant"))
+
+    emitted = prints.select("print", F.explode(F.lit([0, *across])).alias("mask"))
+    near = dealt(emitted.select("print", "mask", F.col("print").bitwiseXOR(F.col("mask")).alias("code")))
+    alone = F.lit([0])
+    masks = F.when(F.col("print") == F.col("code"), F.lit([0, *ball])).otherwise(alone)
+    group = Window.partitionBy("half", "variant")
+    hubs = variants(near, masks).withColumn("hub", F.min("print").over(group))
+    found = hubs.select("hub", "print") if inner else None
     if distance % 2:
-        far = (
-            prints.where(F.bit_count("print") % 2 == 0)
-            .select("print", F.explode(F.lit(_outer(distance))).alias("mask"))
-            .select("print", flipped)
-        )
-        # Two flips keep an even fingerprint even, one flip makes it odd.
+        # Even fingerprints flip one bit more than the others; that makes the parity of a meeting.
+        more = [_signed(1 << i | 1 << j) for i, j in itertools.combinations(own, 2)]
+        outer = more if distance == 3 else [_signed(1 << i) for i in (*own, *other)]
+        far = prints.where(F.bit_count("print") % 2 == 0).withColumn("code", F.col("print"))
+        if distance == 1:  # flips of both halves: one row for each
+            each = far.select("print", F.explode(F.lit(outer)).alias("flip"))
+            far = dealt(each.select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("code")))
+            far = variants(far, alone)
+        else:
+            far = variants(dealt(far), F.lit(outer))
         parity = 1 if distance == 1 else 0
         meeting = hubs.where("hub = print").where(F.bit_count("variant") % 2 == parity)
-        outer = far.join(meeting.select("variant", "hub").hint("shuffle_hash"), "variant")
-        found = found.unionAll(outer.select("hub", "print"))
-    apart = F.bit_count(F.col("hub").bitwiseXOR(F.col("print")))
-    return found.where("hub != print").distinct().where(apart <= distance)
+        met = far.join(meeting.select("half", "variant", "hub").hint("shuffle_hash"), ["half", "variant"])
+        met = met.select("hub", "print")
+        found = met if found is None else found.unionAll(met)
+    return found
 
 
 def grouped(
@@ -131,7 +154,10 @@ def grouped(
         documents.select(col(doc_id).alias("doc_id"), fingerprint(col(text), words).alias("print"))
     )
     distinct = settled(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
-    tree = components(links(distinct.select("print"), distance), "hub", "print")
+    # Both sides of the joins on half and variant are dealt by half already.
+    with setting(documents.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        linked = settled(links(distinct.select("print"), distance))
+    tree = components(linked, "hub", "print")
     roots = tree.select(F.col("node").alias("print"), "root")
     rooted = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
