@@ -96,6 +96,8 @@ class Table:
             x[short] = (x[short] << np.uint64(32)) | words[at : at + len(short)].astype(np.uint64)
             at += len(short)
             state[: len(x)] = x
+        if at != len(words) or (state != LOW).any():  # where encoding began
+            raise ValueError("a block's words differ from what was written")
         return out
 
 
