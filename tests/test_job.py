@@ -3,11 +3,10 @@ from pathlib import Path
 import pandas as pd
 import pytest
 from conftest import AS_OF
-from pyspark.errors import AnalysisException
 
 from veritide import contract
 from veritide.__main__ import main
-from veritide.plans.job import STAGES, run_job
+from veritide.plans.job import STAGES, StageFailed, run_job
 from veritide.sources.tables import read_csv, write_csv
 from veritide.streaming.daily import mask_new_files
 
@@ -38,7 +37,7 @@ def test_job_writes_every_result(spark, tmp_path, valid_rows):
 
 
 def test_failure_is_reported_and_raised(spark, tmp_path):
-    with pytest.raises(AnalysisException):
+    with pytest.raises(StageFailed):
         run_job(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"), AS_OF)
     stages = spark.read.json(str(tmp_path / "out/execution/stages")).collect()
     assert [(s.stage, s.status) for s in stages] == [("sense_raw_data", "FAILED")]
@@ -47,7 +46,7 @@ def test_failure_is_reported_and_raised(spark, tmp_path):
 
 
 def test_failure_halts_the_later_stages(spark, tmp_path, customers, valid_rows):
-    with pytest.raises(Exception):
+    with pytest.raises(StageFailed):
         run_job(spark, customers(*valid_rows).drop("phone"), str(tmp_path / "out"), AS_OF)
     stages = spark.read.json(str(tmp_path / "out/execution/stages")).orderBy("stage").collect()
     assert {s.stage: s.status for s in stages} == {"sense_raw_data": "SUCCESS", "profile_quality": "FAILED"}
@@ -87,5 +86,26 @@ def test_stored_table_is_not_copied(spark, tmp_path, raw_at):
     report = run_job(spark, table, str(tmp_path / "out"), AS_OF, stored=True)
     assert report.stages[3].details == {"invalid_row_count": 70, "row_count": 150}
     assert not (tmp_path / "out/raw").exists()
-    with pytest.raises(ValueError):
+    with pytest.raises(StageFailed, match="row numbers"):
         run_job(spark, table.drop("row_id"), str(tmp_path / "no"), AS_OF, stored=True)
+
+
+def test_stages_run_one_by_one(spark, tmp_path, raw_at):
+    write_csv(raw_at("0.001"), str(tmp_path / "raw"))
+    whole = run_job(spark, str(tmp_path / "raw"), str(tmp_path / "a"), AS_OF)
+    single = [
+        run_job(spark, str(tmp_path / "raw") if name == "sense_raw_data" else None, str(tmp_path / "b"), AS_OF, stages=[name])
+        for name in STAGES
+    ]
+    assert [s.stages[0].details for s in single] == [s.details for s in whole.stages]
+
+
+@pytest.mark.parametrize("source", ["raw", "cleaned", "", "raw/part"])
+def test_a_source_that_the_job_would_write_is_refused(spark, tmp_path, valid_rows, source):
+    (tmp_path / source).mkdir(parents=True, exist_ok=True)
+    kept = tmp_path / source / "a.csv"
+    write_raw(kept, valid_rows)
+    before = kept.read_bytes()
+    with pytest.raises(ValueError, match="overlaps"):
+        run_job(spark, str(tmp_path / source), str(tmp_path), AS_OF)
+    assert kept.read_bytes() == before and not (tmp_path / "execution").exists()

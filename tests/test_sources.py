@@ -60,3 +60,10 @@ def test_written_table_comes_back(spark, tmp_path):
     back = tables.write_table(table, str(tmp_path / "t"))
     assert sorted(back.collect()) == sorted(table.collect())
     assert tables.read_parquet(spark, str(tmp_path / "t")).columns == table.columns
+
+
+@pytest.mark.parametrize("row", ["4,5,6,7,8", "9"])
+def test_rows_with_other_numbers_of_fields_fail(spark, tmp_path, row):
+    (tmp_path / "a.csv").write_text(f"a,b,c\n1,2,3\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        tables.read_csv(spark, str(tmp_path / "a.csv")).select("a").collect()

@@ -7,7 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from veritide.plans.job import run_job
+from veritide.plans.job import STAGES, run_job
 from veritide.sources.faults import generate_customers
 from veritide.sources.tables import write_csv
 
@@ -20,6 +20,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("folder", help="where results go; all executors must reach it")
     run.add_argument("--as-of", type=dt.date.fromisoformat, help="day that ages are taken at")
     run.add_argument("--row-id", help="a column that numbers the rows")
+    run.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    run.add_argument("--stage", action="append", choices=list(STAGES), help="run these stages only")
     run.add_argument("--csv", action="store_true", help="also write the tables as CSV")
     generate = commands.add_parser("generate", help="write generated customers as CSV")
     generate.add_argument("folder")
@@ -38,7 +40,9 @@ def main(argv: list[str] | None = None) -> None:
         rates = args.error_rate, args.format_variation_rate, args.duplicate_rate
         write_csv(generate_customers(spark, args.rows, args.seed, *rates), args.folder)
         return
-    report = run_job(spark, args.source, args.folder, args.as_of, args.row_id, args.csv)
+    report = run_job(
+        spark, args.source, args.folder, args.as_of, args.row_id, args.csv, multi_line=args.multi_line, stages=args.stage
+    )
     for stage in report.stages:
         print(f"{stage.status} {stage.name} {stage.seconds}s {stage.details}")
 

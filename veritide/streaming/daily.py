@@ -8,10 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 from veritide import contract
 from veritide.operators.clean import clean
 from veritide.operators.mask import mask_table
-from veritide.sources.tables import CSV_DIALECT, text_view
+from veritide.sources.tables import CSV_DIALECT, STRICT, text_view
 
 
-def mask_new_files(spark: SparkSession, source: str, folder: str) -> StreamingQuery:
+def mask_new_files(
+    spark: SparkSession, source: str, folder: str, multi_line: bool = False
+) -> StreamingQuery:
     """Take in every raw CSV file not seen before, write it cleaned and masked, then stop.
 
     Cleaning and masking look at one row at a time, so they need no state. The checkpoint below
@@ -20,8 +22,8 @@ def mask_new_files(spark: SparkSession, source: str, folder: str) -> StreamingQu
     """
     raw = (
         spark.readStream.schema(contract.SCHEMA)
-        .options(**CSV_DIALECT)
-        .option("enforceSchema", False)
+        .options(**CSV_DIALECT, **STRICT)
+        .option("multiLine", multi_line)
         .csv(source)
     )
     return (
