@@ -50,6 +50,20 @@ def test_key_column_as_row_number(spark, tmp_path):
     assert [r.row_id for r in rows] == [41, 42]
 
 
+@pytest.mark.parametrize("cell", ["", "x1", "1.5e400"])
+def test_a_key_that_is_no_number_is_refused(spark, tmp_path, cell):
+    (tmp_path / "a.csv").write_text(f"a,b\n41,x\n{cell},y\n")
+    with pytest.raises(Exception, match="column a has a cell that is no row number"):
+        tables.read_csv(spark, str(tmp_path / "a.csv"), row_id="a").collect()
+
+
+def test_repeated_row_numbers_are_refused(spark):
+    numbers = spark.createDataFrame([(1,), (2,), (2,)], "row_id long")
+    tables.refuse_repeated_numbers(numbers.distinct())
+    with pytest.raises(ValueError, match="2 rows have the row number 2"):
+        tables.refuse_repeated_numbers(numbers)
+
+
 def test_absent_source_fails_at_once(spark, tmp_path):
     with pytest.raises(AnalysisException):
         tables.read_csv(spark, str(tmp_path / "none.csv"))

@@ -183,10 +183,46 @@ def test_partitions_do_not_matter(raw_at):
     assert one == many
 
 
-@pytest.mark.parametrize("hot_keys", [0, 1, 3, 1024])
-def test_hot_keys_give_the_same_rows(spark, monkeypatch, hot_keys):
-    """One key holds a third of the rows, others repeat or not; any bound gives the same result."""
-    monkeypatch.setattr(keys, "HOT_KEYS", hot_keys)
+def test_names_of_any_kind(customers, valid_rows):
+    table = customers(*edited(valid_rows, email="nora@a.com")).withColumnRenamed("phone", "home.phone")
+    table = table.withColumns({"place": F.lit("x"), "key": F.lit("y"), "n": F.lit(1)})
+    rules = [
+        Rule("email", "company__mail", lambda v: v.endswith(".nowhere")),
+        Rule("home.phone", "short", lambda v: F.length(v) < 3),
+        Rule("customer_id", "unique"),
+    ]
+    result = validate.validate(table, rules)
+    found = {(r.column, r.check): r.sample_row_ids for r in result.by_check.collect()}
+    assert set(found) == {("email", "company__mail"), ("home.phone", "short")} and all(found.values())
+    assert validate.row_checks(table, rules).columns[1:] == [r.name for r in rules]
+    plans = [
+        re.sub(r"#\d+L?|(?<=_common_expr_)\d+", "", f._jdf.queryExecution().optimizedPlan().toString())
+        for f in (validate.check_totals(table, [*RULES[1:3], *rules]) for _ in range(2))
+    ]
+    assert plans[0] == plans[1]
+
+
+def test_every_hot_key_is_spread(spark):
+    """Each of two keys holds half of the rows, or each of 3,000 a few; no task gets a whole hot key."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        for n_keys in (2, 3000):
+            table = spark.range(40_000).selectExpr("id AS row_id", f"concat('k', id % {n_keys}) AS k")
+            tasks = repeated_rows(table, "k").groupBy(F.spark_partition_id().alias("task")).count()
+            rows = [r["count"] for r in tasks.collect()]
+            assert sum(rows) == 40_000 and max(rows) < 0.4 * 40_000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 50])
+def test_hot_keys_give_the_same_rows(spark, monkeypatch, parts):
+    """One key holds a third of the rows, others repeat or not; any number of parts gives the same result."""
+    monkeypatch.setattr(keys, "PARTS_PER_PARTITION", parts)
     texts = ["hot" if i % 3 == 0 else f"k{i // 4}" if i % 7 else f"u{i}" for i in range(600)]
     texts += ["", " ", ""]
     table = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, k string").repartition(5)

@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.contract import ROW_ID
+from veritide.functions.names import exact
 from veritide.functions.text import is_present
 
-# How many of the most repeated keys are matched by broadcast. Whatever the table, this bounds the
-# broadcast to so many keys, and any key beyond them holds less than 1/1024 of the rows.
-HOT_KEYS = 1024
+# Parts of a key for each shuffle partition; more parts spread a hot key more evenly.
+PARTS_PER_PARTITION = 4
 
 
 def repeated_rows(table: DataFrame, key: str) -> DataFrame:
     """``(row_id, key)`` of every row whose key text occurs more than once; blank keys are exempt.
 
-    Only two columns move. Counting combines before the shuffle, so a hot key is one record per
-    task there. Marking the rows would bring a hot key's rows together: its rows are matched against
-    the broadcast of the hottest keys where they are, and the rest in a join without large groups.
+    Only two columns move. The rows of every key, hot or not, are cut into parts by a hash of their
+    row number. Parts are counted and added up by key, a few numbers for each key, and the rows meet
+    the verdict by key and part. So a key that all rows share is spread over all tasks, and no
+    constant decides which keys are.
     """
-    keyed = table.select(ROW_ID, key).filter(is_present(F.col(key)))
-    repeated = keyed.groupBy(key).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
-    hottest = F.broadcast(repeated.orderBy(F.desc("n_rows"), key).limit(HOT_KEYS).select(key))
-    hot = keyed.join(hottest, key, "left_semi")
-    others = keyed.join(hottest, key, "left_anti").join(repeated, key, "left_semi")
-    return hot.unionByName(others).select(ROW_ID, key)
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = F.lit(PARTS_PER_PARTITION * partitions)
+    own = exact(key)
+    keyed = table.filter(is_present(own)).select(
+        ROW_ID, own.alias("key_text"), F.pmod(F.xxhash64(ROW_ID), parts).alias("part")
+    )
+    counts = keyed.groupBy("key_text", "part").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("key_text"))
+    repeated = counts.select("key_text", "part", total.alias("n")).filter("n > 1")
+    marked = keyed.join(repeated.select("key_text", "part"), ["key_text", "part"], "left_semi")
+    return marked.select(ROW_ID, F.col("key_text").alias(key))

@@ -34,17 +34,12 @@ class Rule(NamedTuple):
     def name(self) -> str:
         return f"{self.column}__{self.check}"
 
-    @property
-    def reading(self) -> str:
-        """Name of the column that holds the value as read; rules with the same reader share it."""
-        return f"read_{id(self.reads):x}__{self.column}" if self.reads else self.column
-
-    def verdict(self) -> Column:
-        """True where the row passes. Blanks fail ``required`` only, and nulls no rule at all."""
-        present = F.col(f"is_present__{self.column}")
+    def verdict(self, present: Column, value: Column) -> Column:
+        """True where the row passes, from whether the value is present and the value as read.
+        Blanks fail ``required`` only, and nulls no rule at all."""
         if self.check == REQUIRED:
             return F.coalesce(present, F.lit(True))
-        holds = self.holds(F.col(self.reading))
+        holds = self.holds(value)
         return F.when(present, F.coalesce(holds, F.lit(False))).otherwise(F.lit(True))
 
 

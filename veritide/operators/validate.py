@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritide.contract import ROW_ID
+from veritide.functions.names import exact
 from veritide.functions.numbers import percent
 from veritide.functions.text import is_present
 from veritide.operators.keys import repeated_rows
@@ -18,6 +19,7 @@ from veritide.operators.reshape import long_form
 from veritide.operators.rules import UNIQUE, Rule, customer_rules
 
 NOT_NULL = "not_null"
+OWN = "__veritide"  # how the names of helper columns begin
 SAMPLE_ROWS = 5
 FAILURE_SCHEMA = f"{ROW_ID} bigint, column string, check string, failure_case string"
 
@@ -69,30 +71,44 @@ def row_verdicts(table: DataFrame, rules: list[Rule]) -> dict[Rule, Column]:
     """A boolean per rule that one row decides, and per text column that may hold nulls."""
     by_row, _ = usable_rules(table, rules)
     nullable = {f.name for f in table.schema if f.nullable}
-    columns = dict.fromkeys(rule.column for rule in by_row)
+    present, read = _helpers(by_row)
+
+    def verdict(rule: Rule) -> Column:
+        value = F.col(read[rule.column, rule.reads]) if rule.reads else exact(rule.column)
+        return rule.verdict(F.col(present[rule.column]), value)
+
     return {
-        **{Rule(c, NOT_NULL): F.col(c).isNotNull() for c in columns if c in nullable},
-        **{rule: rule.verdict() for rule in by_row},
+        **{Rule(c, NOT_NULL): exact(c).isNotNull() for c in present if c in nullable},
+        **{rule: verdict(rule) for rule in by_row},
     }
 
 
+def _helpers(rules: list[Rule]) -> tuple[dict[str, str], dict[tuple, str]]:
+    """Names of the columns that tell, by column, whether its value is present, and that hold, by
+    column and reader, the value as read. They go by position, so every run has the same plan."""
+    columns = dict.fromkeys(rule.column for rule in rules)
+    readers = dict.fromkeys((rule.column, rule.reads) for rule in rules if rule.reads)
+    return (
+        {c: f"{OWN}_present_{i}" for i, c in enumerate(columns)},
+        {r: f"{OWN}_read_{i}" for i, r in enumerate(readers)},
+    )
+
+
 def with_inputs(table: DataFrame, verdicts: dict[Rule, Column]) -> DataFrame:
     """The table with what the verdicts are made from, in a projection of its own.
 
     A parsed date or number serves several conditions; as a column it is parsed once per row.
     """
-    judged = [rule for rule in verdicts if rule.check != NOT_NULL]
-    columns = dict.fromkeys(rule.column for rule in judged)
-    readers = {rule.reading: rule for rule in judged if rule.reads}
+    present, read = _helpers([rule for rule in verdicts if rule != Rule(rule.column, NOT_NULL)])
     return table.select(
         "*",
-        *[is_present(F.col(c)).alias(f"is_present__{c}") for c in columns],
-        *[rule.reads(F.col(rule.column)).alias(name) for name, rule in readers.items()],
+        *[is_present(exact(c)).alias(name) for c, name in present.items()],
+        *[reads(exact(c)).alias(name) for (c, reads), name in read.items()],
     )
 
 
 def _all_hold(rules) -> Column:
-    return reduce(and_, [F.col(rule.name) for rule in rules], F.lit(True))
+    return reduce(and_, [exact(rule.name) for rule in rules], F.lit(True))
 
 
 def row_checks(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -107,7 +123,8 @@ def row_checks(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
         return checked
     # The join is on the row number, so a hot key does not gather its rows anywhere.
     repeated = repeated_rows(table, key.column).select(ROW_ID, F.lit(False).alias(key.name))
-    return checked.join(repeated, ROW_ID, "left").fillna(True, [key.name])
+    marked = checked.join(repeated, ROW_ID, "left")
+    return marked.withColumn(key.name, F.coalesce(exact(key.name), F.lit(True)))
 
 
 def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -120,10 +137,10 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
     rules = customer_rules() if rules is None else rules
     verdicts = row_verdicts(table, rules)
     places = [F.when(~ok, F.lit(i)) for i, ok in enumerate(verdicts.values(), start=1)]
-    place = F.col("place")
+    place = F.col(f"{OWN}_place")
     found = (
         with_inputs(table, verdicts)
-        .select("*", F.explode(F.array(*places)).alias("place"))
+        .select("*", F.explode(F.array(*places)).alias(f"{OWN}_place"))
         .filter(place.isNotNull())
         .select(
             ROW_ID,
@@ -140,7 +157,7 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
                 ROW_ID,
                 F.lit(key.column).alias("column"),
                 F.lit(key.check).alias("check"),
-                F.col(key.column).alias("failure_case"),
+                exact(key.column).alias("failure_case"),
             )
         )
     structural = structural_failures(table, rules)
@@ -161,10 +178,15 @@ def _value_at(place: Column, rules) -> Column:
         places.setdefault(rule.column, []).append(i)
     value = F.lit(None).cast("string")
     for column, own in places.items():
-        value = F.when(place.isin(own), F.col(column)).otherwise(value)
+        value = F.when(place.isin(own), exact(column)).otherwise(value)
     return value
 
 
+def _named(count: Column, rule: Rule) -> Column:
+    """A count that carries the column and the check it is of, whatever their names hold."""
+    return count.alias(rule.name, metadata={"column": rule.column, "check": rule.check})
+
+
 def check_totals(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """One row: ``row_count``, ``invalid_row_count`` and a failure count per rule.
 
@@ -176,39 +198,43 @@ def check_totals(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame
     verdicts = row_verdicts(table, rules)
     _, key = usable_rules(table, rules)
     flags = with_inputs(table, verdicts).select(
-        (F.col(key.column) if key else F.lit("")).alias("key"),
+        (exact(key.column) if key else F.lit("")).alias(f"{OWN}_key"),
         *[ok.alias(rule.name) for rule, ok in verdicts.items()],
     )
-    per_key = flags.groupBy(*(["key"] if key else [])).agg(
+    per_key = flags.groupBy(*([f"{OWN}_key"] if key else [])).agg(
         F.count("*").alias("row_count"),
         F.count_if(~_all_hold(verdicts)).alias("invalid_row_count"),
-        *[F.count_if(~F.col(rule.name)).alias(rule.name) for rule in verdicts],
+        *[_named(F.count_if(~exact(rule.name)), rule) for rule in verdicts],
     )
     if key:
-        is_repeated = F.coalesce(is_present(F.col("key")), F.lit(False)) & (F.col("row_count") > 1)
-        repeated = F.when(is_repeated, F.col("row_count"))
-        sums = {
-            "row_count": F.col("row_count"),
-            "invalid_row_count": F.coalesce(repeated, F.col("invalid_row_count")),
-            **{rule.name: F.col(rule.name) for rule in verdicts},
-            key.name: repeated,
-        }
+        present = F.coalesce(is_present(F.col(f"{OWN}_key")), F.lit(False))
+        repeated = F.when(present & (F.col("row_count") > 1), F.col("row_count"))
+
+        def total(part: Column) -> Column:
+            return F.coalesce(F.sum(part), F.lit(0))
+
         per_key = per_key.agg(
-            *[F.coalesce(F.sum(part), F.lit(0)).alias(name) for name, part in sums.items()]
+            total(F.col("row_count")).alias("row_count"),
+            total(F.coalesce(repeated, F.col("invalid_row_count"))).alias("invalid_row_count"),
+            *[_named(total(exact(rule.name)), rule) for rule in verdicts],
+            _named(total(repeated), key),
         )
     return per_key.select(
-        "*", *[F.lit(1).alias(rule.name) for rule, _ in structural_failures(table, rules)]
+        "*", *[_named(F.lit(1), rule) for rule, _ in structural_failures(table, rules)]
     )
 
 
-def _counts(totals: DataFrame) -> dict[str, Column]:
-    named = [c for c in totals.columns if c not in ("row_count", "invalid_row_count")]
-    return {name: F.col(name).cast("bigint") for name in named}
+def _counts(totals: DataFrame) -> list[list[Column]]:
+    """Column, check and failure count of each rule."""
+    named = [(f.name, f.metadata) for f in totals.schema if "check" in f.metadata]
+    return [
+        [F.lit(of["column"]), F.lit(of["check"]), exact(name).cast("bigint")] for name, of in named
+    ]
 
 
 def summarize(totals: DataFrame) -> DataFrame:
     """Row count, invalid rows, their percent, and whether nothing at all fails."""
-    failures = reduce(lambda a, b: a + b, _counts(totals).values(), F.lit(0))
+    failures = reduce(lambda a, b: a + b, [count for *_, count in _counts(totals)], F.lit(0))
     return totals.select(
         "row_count",
         "invalid_row_count",
@@ -219,11 +245,8 @@ def summarize(totals: DataFrame) -> DataFrame:
 
 def failed_checks(totals: DataFrame) -> DataFrame:
     """``column, check, failure_count`` of the checks that fail."""
-    rows = [
-        [*[F.lit(part) for part in name.rsplit("__", 1)], count]
-        for name, count in _counts(totals).items()
-    ]
-    return long_form(totals, ["column", "check", "failure_count"], rows).filter("failure_count > 0")
+    named = long_form(totals, ["column", "check", "failure_count"], _counts(totals))
+    return named.filter("failure_count > 0")
 
 
 def summarize_failures(failures: DataFrame, row_count: int) -> DataFrame:

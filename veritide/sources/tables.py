@@ -42,11 +42,27 @@ def read_parquet(spark: SparkSession, path: str, row_id: str | None = None) -> D
 
 
 def number_rows(table: DataFrame, row_id: str | None = None) -> DataFrame:
-    """Give the table its ``row_id``, from a column or by position."""
+    """Give the table its ``row_id``, from a column or by position.
+
+    A cell of that column that is no whole number fails when it is read. Whether numbers repeat is
+    for ``refuse_repeated_numbers`` to tell.
+    """
     if contract.ROW_ID in table.columns and row_id is None:
         return table
-    number = F.monotonically_increasing_id() if row_id is None else F.col(row_id).cast("bigint")
-    return table.withColumn(contract.ROW_ID, number)
+    if row_id is None:
+        return table.withColumn(contract.ROW_ID, F.monotonically_increasing_id())
+    number = F.col(row_id).try_cast("bigint")
+    shown = F.coalesce(F.col(row_id).cast("string"), F.lit("null"))
+    refused = F.raise_error(F.concat(F.lit(f"column {row_id} has a cell that is no row number: '"), shown, F.lit("'")))
+    return table.withColumn(contract.ROW_ID, F.when(number.isNotNull(), number).otherwise(refused.cast("bigint")))
+
+
+def refuse_repeated_numbers(table: DataFrame) -> None:
+    """Fails if two rows share a row number, which reports could not tell apart."""
+    counts = table.groupBy(contract.ROW_ID).agg(F.count("*").alias("n_rows"))
+    repeated = counts.filter("n_rows > 1").first()
+    if repeated:
+        raise ValueError(f"{repeated['n_rows']} rows have the row number {repeated[contract.ROW_ID]}")
 
 
 def text_view(table: DataFrame) -> DataFrame:
