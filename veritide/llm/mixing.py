@@ -239,11 +239,11 @@ def mixed(
     held = documents.select(F.struct(*[col(c) for c in documents.columns]).alias("row"), col(text).alias("text"))
     found = _with_evidence(held, model, "text")
     posteriors = model.posteriors([F.col(f"e{i}") for i in range(len(model.domains))])
-    members = settled(found.select("tokens", posteriors.alias("posteriors")))
-    plan = fitted(members, model.domains, weights)
+    # Posteriors are stored with the rows: inlined into the rate they would be made again in each step.
+    whole = settled(found.select("row", "tokens", posteriors.alias("posteriors")))
+    plan = fitted(settled(whole.select("tokens", "posteriors")), model.domains, weights)
     rate = _replayed(plan.steps, F.col("posteriors"))
-    times = copies(rate, F.col("row").getField(doc_id))
-    each = found.select("row", posteriors.alias("posteriors")).withColumn("times", times)
+    each = whole.withColumn("times", copies(rate, F.col("row").getField(doc_id)))
     again = F.explode(F.sequence(F.lit(1), F.col("times")))
     return each.where("times > 0").select("row", again.alias("copy")).select("row.*")
 
