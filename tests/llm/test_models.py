@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from veritide.llm import mixing, quality, toxicity
+from pyspark.sql import functions as F
+from veritide.llm import common, mixing, quality, toxicity
 from veritide.llm import queries as corpus
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -113,3 +114,20 @@ def test_pipeline_keeps_what_its_stages_decide(spark):
     assert sorted(r.doc_id for r in single.select("doc_id").collect()) == sorted(set(groups["component_id"]))
     last = corpus_pipeline.run(spark, SF_DIR)
     assert last.where("NOT same_text").count() == 0 and last.count() > 500
+
+
+def test_hash_bound_keeps_the_smallest(spark):
+    ids = spark.range(20_000).selectExpr("id", "xxhash64(id) AS hashed")
+    near = ids.where(common.among_smallest(F.col("hashed"), 1000, 20_000))
+    assert 2000 < near.count() < 2500
+    first = lambda frame: [r.id for r in frame.orderBy("hashed", "id").limit(1000).collect()]
+    assert first(near) == first(ids)
+    assert ids.where(common.among_smallest(F.col("hashed"), 1000, 2250)).count() == 20_000
+
+
+def test_mixing_sample_is_that_of_the_whole_table(spark):
+    docs = spark.range(9000).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    labelled = docs.selectExpr("doc_id AS id", "if(doc_id % 9 = 0, 'b', 'a') AS domain")
+    found = {(r.domain, r.id) for r in mixing._sample(docs, labelled, 200, "doc_id", "text").collect()}
+    ranked = labelled.selectExpr("*", "row_number() OVER (PARTITION BY domain ORDER BY xxhash64(id), id) AS n")
+    assert found == {(r.domain, r.id) for r in ranked.where("n <= 200").collect()}

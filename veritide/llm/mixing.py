@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritide.llm.common import col, held_out, settled, table
+from veritide.llm.common import among_smallest, col, held_out, settled, table
 
 BUCKETS = 1 << 12
 PER_DOMAIN = 1500
@@ -71,10 +71,15 @@ class Classifier:
 
 
 def _sample(documents: DataFrame, labelled: DataFrame, per_domain: int, doc_id: str, text: str) -> DataFrame:
-    """Texts of up to ``per_domain`` documents of each domain, by the smallest hash of their id."""
+    """Texts of up to ``per_domain`` documents of each domain, by the smallest hash of their id.
+
+    ``labelled`` holds domains of a given list only, so their counts are a few numbers."""
     known = labelled.where("id IS NOT NULL AND domain IS NOT NULL").groupBy("id").agg(F.min("domain").alias("domain"))
+    near = F.lit(False)
+    for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect():
+        near = near | ((F.col("domain") == r["domain"]) & among_smallest(F.xxhash64("id"), per_domain, r["n"]))
     order = Window.partitionBy("domain").orderBy(F.xxhash64("id"), "id")
-    ids = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_domain)
+    ids = known.where(near).withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_domain)
     found = documents.select(col(doc_id).alias("id"), col(text).alias("text")).join(F.broadcast(ids), "id")
     return found.groupBy("id", "domain", "place").agg(F.min("text").alias("text"))
 
