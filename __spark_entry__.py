@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,8 +17,9 @@ import oracles  # noqa: E402
 from veritide.contract import COLUMNS, KEY, ROW_ID  # noqa: E402
 from veritide.functions.normalize import normalize_date, normalize_name, normalize_phone  # noqa: E402
 from veritide.operators import clean, mask, pii, profile, validate  # noqa: E402
+from veritide.operators.keys import repeated_rows  # noqa: E402
 from veritide.operators.rules import customer_rules  # noqa: E402
-from veritide.plans.job import run_job  # noqa: E402
+from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
 from veritide.session import scratch_folder  # noqa: E402
 from veritide.sources import tables  # noqa: E402
 from veritide.sources.faults import customers_for  # noqa: E402
@@ -109,6 +111,115 @@ def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers_for(ids, customer.count(), as_of=AS_OF)
 
 
+def _csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written with a surplus field or without their last one, set apart when read."""
+    raw, folder = _raw(spark, sf_dir), scratch_folder(spark)
+    surplus, short = F.col(ROW_ID) % 40 == 7, F.col(ROW_ID) % 50 == 9
+    tables.write_csv(raw.where(~surplus & ~short), f"{folder}/whole")
+    tables.write_csv(raw.where(surplus).withColumn("surplus", F.lit("x")), f"{folder}/surplus")
+    tables.write_csv(raw.where(short & ~surplus).drop(COLUMNS[-1]), f"{folder}/short")
+    paths = [f"{folder}/{part}" for part in ("whole", "surplus", "short")]
+    read = tables.read_csv_marked(spark, paths, COLUMNS)
+    return read.select("customer_id", "email", F.col(tables.MALFORMED).isNotNull().alias("malformed"))
+
+
+def _csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_folder(spark)
+    address = F.concat("address", F.lit("\nFloor 2"))
+    tables.write_csv(_raw(spark, sf_dir).withColumn("address", address), folder)
+    return tables.customer_columns(tables.read_csv(spark, folder, multi_line=True)).drop(ROW_ID)
+
+
+def _hot_key_repeats(lines: DataFrame) -> DataFrame:
+    """Rows of repeated keys, one of which a third of all rows or so share."""
+    hot = F.when(F.col("l_linenumber") % 3 == 1, F.lit("hot"))
+    key = F.coalesce(hot, F.concat_ws("-", "l_partkey", "l_suppkey"))
+    number = (F.col("l_orderkey").cast("bigint") * 100 + F.col("l_linenumber")).alias(ROW_ID)
+    return repeated_rows(lines.select(number, key.alias("line_key")), "line_key")
+
+
+def _structural_failures(raw: DataFrame) -> DataFrame:
+    """An absent column, one that is no text, and one with nulls."""
+    rules = [r for r in customer_rules(AS_OF) if r.column in ("email", "phone", "income")]
+    bent = raw.drop("phone").withColumns(
+        {"income": F.col("income").try_cast("double"), "email": F.nullif("email", F.lit(""))}
+    )
+    return validate.failure_cases(bent, rules)
+
+
+def _valid_table_verdict(raw: DataFrame) -> DataFrame:
+    """The verdict on the rows that fail no check."""
+    failed = validate.failure_cases(raw, customer_rules(AS_OF)).select(ROW_ID)
+    return _summary(raw.join(failed, ROW_ID, "left_anti"))
+
+
+def _written_report_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every section of the quality report, written and read again."""
+    report = profile.quality_report(tables.inferred_view(_raw(spark, sf_dir)), AS_OF)
+    stored = tables.write_metrics(report, scratch_folder(spark))
+    return reduce(
+        DataFrame.unionByName,
+        [t.agg(F.count("*").alias("row_count")).select(F.lit(s).alias("section"), "row_count") for s, t in stored.items()],
+    )
+
+
+def _generated_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must be true of generated customers, whatever is drawn."""
+    made = _generated(spark, sf_dir)
+    early = (F.col(ROW_ID) <= 25) & (F.col(ROW_ID) != 14)  # a faulty status may be blank as well
+    others = [c for c in COLUMNS if c != KEY]
+    blanks = sum((F.trim(c) == "").cast("int") for c in others)
+    expected = F.col(ROW_ID).between(17, 25).cast("int")
+    blank_at = F.array_position(F.array(*[F.trim(c) == "" for c in others]), True)
+    last = made.orderBy(F.col(ROW_ID).desc()).limit(1).select(KEY).where(f"{KEY} <> ''")
+    by_id = made.join(F.broadcast(last), KEY).agg((F.count("*") != 1).alias("holds"))
+    income = F.col("income").try_cast("double")
+    formed = F.col("phone").rlike("^\\d{3}-\\d{3}-\\d{4}$")
+    held = made.agg(
+        F.count("*").alias("rows"),
+        (F.count_distinct(ROW_ID) == F.count("*")).alias("row_numbers_are_unique"),
+        F.bool_and(~early | (blanks == expected)).alias("early_rows_lack_one_cell"),
+        F.bool_and(~F.col(ROW_ID).between(17, 25) | (blank_at == F.col(ROW_ID) - 16)).alias("cells_go_missing_in_order"),
+        F.bool_or((F.col(ROW_ID) == 12) & (income < 0)).alias("row_12_has_negative_income"),
+        F.bool_or((F.col(ROW_ID) == 13) & (income > 10_000_000)).alias("row_13_has_too_much_income"),
+        F.bool_or((F.col(ROW_ID) == 5) & (F.col("date_of_birth") == "invalid_date")).alias("row_5_has_no_date"),
+        F.bool_or((F.col(ROW_ID) == 10) & (F.length("address") < 10)).alias("row_10_has_a_short_address"),
+        F.bool_or((F.col(ROW_ID) == 11) & (F.length("address") > 200)).alias("row_11_has_a_long_address"),
+        F.bool_and((F.col("income") == "") | income.isNotNull()).alias("income_is_a_number"),
+        F.avg((~formed).cast("int")).between(0.1, 0.6).alias("some_phones_vary"),
+        F.avg((blanks > 0).cast("int")).between(0.01, 0.2).alias("some_cells_are_missing"),
+    )
+    facts = [c for c in held.columns if c != "rows"]
+    named = [F.struct(F.lit(c).alias("property"), F.col(c).alias("holds")) for c in facts]
+    rows = held.select("rows", F.explode(F.array(*named)).alias("p")).select("p.property", "p.holds", "rows")
+    repeats = by_id.select(F.lit("last_id_repeats_or_is_blank").alias("property"), "holds")
+    return rows.unionByName(repeats.crossJoin(F.broadcast(held.select("rows"))))
+
+
+def _job_failed_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored records of a job whose source lacks a column."""
+    folder = scratch_folder(spark)
+    try:
+        run_job(spark, _raw(spark, sf_dir).drop("phone"), folder, AS_OF)
+    except StageFailed:
+        pass
+    stages = spark.read.schema(RECORD).json(f"{folder}/execution/stages")
+    run = spark.read.schema("status string, seconds double").json(f"{folder}/execution/run")
+    record = stages.select("stage", "status", F.col("details")["row_count"].alias("row_count"), F.col("error").isNotNull().alias("has_error"))
+    whole = run.select(F.lit("job").alias("stage"), "status", F.lit(None).cast("string").alias("row_count"), F.lit(False).alias("has_error"))
+    return record.unionByName(whole)
+
+
+def _job_stages_one_by_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage as a job of its own; only the first is given the source."""
+    folder, source, reports = scratch_folder(spark), _raw(spark, sf_dir), []
+    for name in STAGES:
+        reports.append(run_job(spark, source, folder, AS_OF, stages=[name]))
+        source = None
+    stored = spark.read.schema(RECORD).json(f"{folder}/execution/stages")
+    return stored.select("stage", F.explode("details").alias("metric", "value"))
+
+
 def _job_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, its results written to the scratch folder; times are left out."""
     report = run_job(spark, _raw(spark, sf_dir), scratch_folder(spark), AS_OF)
@@ -139,6 +250,9 @@ def _customer_queries() -> dict[str, Query]:
         "raw_scan": _on_raw(lambda raw: tables.customer_columns(raw)),
         "csv_round_trip": _csv_round_trip,
         "generated_customers": _generated,
+        "csv_malformed_rows": _csv_malformed_rows,
+        "csv_multiline": _csv_multiline,
+        "generated_properties": _generated_properties,
         # Profile
         "completeness": _on_inferred(profile.completeness),
         "type_profile": _on_inferred(profile.type_profile),
@@ -157,6 +271,7 @@ def _customer_queries() -> dict[str, Query]:
         "event_type_counts": _on(
             "events", lambda t: profile.value_counts(t, "event_type", EVENT_TYPES)
         ),
+        "written_report_sections": _written_report_sections,
         # PII
         "pii_occurrences": _on_raw(pii.pii_occurrences),
         "pii_patterns": _on_raw(pii.pii_patterns),
@@ -166,6 +281,9 @@ def _customer_queries() -> dict[str, Query]:
         "failure_cases": _on_raw(lambda raw: validate.failure_cases(raw, customer_rules(AS_OF))),
         "failures_by_check": _on_raw(_failures_by_check),
         "validation_summary": _on_raw(_summary),
+        "hot_key_repeats": _on("lineitem", _hot_key_repeats),
+        "structural_failures": _on_raw(_structural_failures),
+        "valid_table_verdict": _on_raw(_valid_table_verdict),
         # Cleaning
         "normalize_phone": _on_raw(
             lambda raw: raw.select(
@@ -188,6 +306,8 @@ def _customer_queries() -> dict[str, Query]:
         "full_masked_output": _on_raw(lambda raw: mask.mask_table(clean.clean(raw))),
         # Job
         "job_stage_metrics": _job_stage_metrics,
+        "job_stages_one_by_one": _job_stages_one_by_one,
+        "job_failed_stage": _job_failed_stage,
     }
 
 

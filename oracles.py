@@ -263,6 +263,15 @@ def generated(seed: int = 42) -> str:
     FROM faulty"""
 
 
+#: What holds for generated customers however they are drawn.
+PROPERTIES = [
+    "row_numbers_are_unique", "early_rows_lack_one_cell", "cells_go_missing_in_order",
+    "row_12_has_negative_income", "row_13_has_too_much_income", "row_5_has_no_date",
+    "row_10_has_a_short_address", "row_11_has_a_long_address", "income_is_a_number",
+    "some_phones_vary", "some_cells_are_missing", "last_id_repeats_or_is_blank",
+]
+
+
 # --- All oracles --------------------------------------------------------------------------------
 
 
@@ -311,8 +320,14 @@ def _profile() -> dict[str, str]:
         return f"{c} <> 'invalid_date' AND NOT regexp_matches({c}, {ISO})"
 
     keys = f"SELECT {key} AS v, count(*) AS c, min(customer_id) AS text FROM seen WHERE customer_id IS NOT NULL GROUP BY 1"
+    sections = {
+        "completeness": "completeness", "types": "type_profile", "format_issues": "format_issues",
+        "noncanonical_phones": "noncanonical_phone_sample", "uniqueness": "uniqueness",
+        "repeated_key_sample": "duplicate_id_sample", "invalid_values": "invalid_values",
+        "status_counts": "status_counts", "invalid_statuses": "invalid_status",
+    }
     status = "SELECT coalesce(account_status, 'nan') AS account_status, count(*) AS row_count, coalesce(account_status IN ('active', 'inactive', 'suspended'), false) AS is_valid FROM seen GROUP BY account_status"
-    return {
+    found = {
         "completeness": rows(
             "column missing_count missing_pct",
             *[f"'{c}' | {n(c + ' IS NULL')} | {pct(n(c + ' IS NULL'), 'count(*)')}" for c in COLUMNS],
@@ -348,6 +363,12 @@ def _profile() -> dict[str, str]:
         "invalid_status": f"SELECT account_status, row_count FROM ({status}) WHERE NOT is_valid",
         "invalid_status_rows": f"SELECT CAST(sum(row_count) AS BIGINT) AS invalid_row_count FROM ({status}) WHERE NOT is_valid",
     }
+    return found | {
+        "written_report_sections": " UNION ALL ".join(
+            f"SELECT '{section}' AS section, count(*) AS row_count FROM ({found[query]})"
+            for section, query in sections.items()
+        )
+    }
 
 
 def _customers() -> dict[str, str]:
@@ -393,8 +414,29 @@ def _customers() -> dict[str, str]:
     def stage(name: str, metric: str, value: str) -> str:
         return f"SELECT '{name}' AS stage, '{metric}' AS metric, CAST(({value}) AS VARCHAR) AS value"
 
+    def recorded(name: str, status: str, row_count: str = "NULL", has_error: bool = False) -> str:
+        return f"SELECT '{name}' AS stage, '{status}' AS status, CAST(({row_count}) AS VARCHAR) AS row_count, {has_error} AS has_error"
+
     repeated = "SELECT count(*) AS c FROM customers_raw WHERE trim(customer_id) <> '' GROUP BY customer_id HAVING count(*) > 1"
     invalid = "SELECT count(DISTINCT row_id) FROM ({})"
+    metrics = " UNION ALL ".join(
+        [
+            stage("sense_raw_data", "row_count", "SELECT count(*) FROM customers_raw"),
+            stage("profile_quality", "row_count", "SELECT count(*) FROM customers_raw"),
+            stage("profile_quality", "duplicate_id_rows", f"SELECT CAST(sum(c) AS BIGINT) FROM ({repeated})"),
+            stage(
+                "profile_quality",
+                "invalid_account_status_rows",
+                "SELECT count(*) FROM customers_raw WHERE account_status NOT IN ('active', 'inactive', 'suspended')",
+            ),
+            stage("detect_pii", "full_identity_profile_rows", f"SELECT {n(identity)} FROM customers_raw"),
+            stage("validate_raw", "invalid_row_count", invalid.format(cases("customers_raw"))),
+            stage("validate_raw", "row_count", "SELECT count(*) FROM customers_raw"),
+            stage("clean_and_revalidate", "rows_out", "SELECT count(*) FROM cleaned"),
+            stage("clean_and_revalidate", "post_clean_invalid_row_count", invalid.format(cases("cleaned"))),
+            stage("mask_pii", "rows_masked", "SELECT count(*) FROM cleaned"),
+        ]
+    )
     return {
         "raw_scan": "SELECT * FROM customers_raw",
         "csv_round_trip": "SELECT * EXCLUDE row_id FROM customers_raw",
@@ -450,24 +492,27 @@ def _customers() -> dict[str, str]:
         "mask_columns": masked("customers_raw"),
         "masked_sample": f"WITH first_rows AS (SELECT * FROM cleaned ORDER BY row_id LIMIT 10) {shown}",
         "full_masked_output": masked("cleaned"),
-        "job_stage_metrics": " UNION ALL ".join(
+        "job_stage_metrics": metrics,
+        "job_stages_one_by_one": metrics,
+        "job_failed_stage": " UNION ALL ".join(
             [
-                stage("sense_raw_data", "row_count", "SELECT count(*) FROM customers_raw"),
-                stage("profile_quality", "row_count", "SELECT count(*) FROM customers_raw"),
-                stage("profile_quality", "duplicate_id_rows", f"SELECT CAST(sum(c) AS BIGINT) FROM ({repeated})"),
-                stage(
-                    "profile_quality",
-                    "invalid_account_status_rows",
-                    "SELECT count(*) FROM customers_raw WHERE account_status NOT IN ('active', 'inactive', 'suspended')",
-                ),
-                stage("detect_pii", "full_identity_profile_rows", f"SELECT {n(identity)} FROM customers_raw"),
-                stage("validate_raw", "invalid_row_count", invalid.format(cases("customers_raw"))),
-                stage("validate_raw", "row_count", "SELECT count(*) FROM customers_raw"),
-                stage("clean_and_revalidate", "rows_out", "SELECT count(*) FROM cleaned"),
-                stage("clean_and_revalidate", "post_clean_invalid_row_count", invalid.format(cases("cleaned"))),
-                stage("mask_pii", "rows_masked", "SELECT count(*) FROM cleaned"),
+                recorded("sense_raw_data", "SUCCESS", "SELECT count(*) FROM customers_raw"),
+                recorded("profile_quality", "FAILED", has_error=True),
+                recorded("job", "FAILED"),
             ]
         ),
+        "csv_malformed_rows": """SELECT customer_id, email, row_id % 40 = 7 OR row_id % 50 = 9 AS malformed
+            FROM customers_raw""",
+        "csv_multiline": "SELECT * EXCLUDE row_id REPLACE (address || chr(10) || 'Floor 2' AS address) FROM customers_raw",
+        "structural_failures": f"""SELECT CAST(NULL AS BIGINT) AS row_id, 'phone' AS "column",
+              'column_in_table' AS "check", 'phone' AS failure_case
+            UNION ALL SELECT NULL, 'income', 'dtype', 'double'
+            UNION ALL SELECT row_id, 'email', 'not_null', NULL FROM customers_raw WHERE email = ''
+            UNION ALL SELECT row_id, 'email', 'valid_email', email FROM customers_raw
+            WHERE email <> '' AND NOT regexp_matches(email, {EMAIL})""",
+        "valid_table_verdict": f"""SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS invalid_row_count,
+            CAST(0 AS DOUBLE) AS invalid_pct, true AS is_valid FROM customers_raw
+            WHERE row_id NOT IN (SELECT row_id FROM ({cases('customers_raw')}))""",
     }
 
 
@@ -491,6 +536,14 @@ def _supplied_tables() -> dict[str, str]:
             coalesce(event_type IN ('click', 'view', 'purchase'), false) AS is_valid
             FROM events GROUP BY events.event_type""",
         "generated_customers": generated(),
+        "generated_properties": "SELECT p.property, true AS holds, n.rows FROM (VALUES "
+        + ", ".join(f"('{p}')" for p in PROPERTIES)
+        + ") p(property), (SELECT count(*) AS rows FROM customer) n",
+        "hot_key_repeats": """WITH lines AS (
+            SELECT CAST(l_orderkey AS BIGINT) * 100 + l_linenumber AS row_id,
+              CASE WHEN l_linenumber % 3 = 1 THEN 'hot' ELSE l_partkey || '-' || l_suppkey END AS line_key
+            FROM lineitem)
+          SELECT * FROM lines WHERE line_key IN (SELECT line_key FROM lines GROUP BY 1 HAVING count(*) > 1)""",
     }
 
 
