@@ -239,3 +239,11 @@ def test_hamming_matches_brute_force(spark):
     few = frame.where("id IN (0, 50, 900)")
     assert hamming.top_k(few, few, 10).count() == 2
     assert hamming.top_k(frame.limit(0), frame.limit(0), 10).count() == 0
+
+
+def test_hamming_cuts_cover_the_code():
+    for entries in (0, 1, 200, 10_000, 10**6, 10**9):
+        cuts = hamming._segments(entries, 10)
+        assert [a + w for a, w in cuts] == [a for a, _ in cuts[1:]] + [hamming.BITS]
+        assert 0 <= hamming._first_radius(cuts, entries, 10) <= hamming.WHOLE_RADIUS
+    assert hamming._expected_radius(1 << 64, 1) == 0

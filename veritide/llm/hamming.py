@@ -1,6 +1,6 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-A code of 64 bits is cut into segments, about as wide as the logarithm of the number of codes. If two
+A code of 64 bits is cut into segments, as many as promise the least work for that number of codes. If two
 codes differ in at most r = m * s + a bits (m segments, 0 <= a < m), then one of the first a + 1
 segments differs in at most s bits or another one in at most s - 1. So the search grows segment by
 segment: each step probes one segment at exactly s flipped bits, and everything within r is known
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from veritide.llm.common import settled
 
 BITS = 64
-#: Segment radii that the first step takes together; few variants, and few codes are that near.
-FIRST_RADIUS = 2
+#: Segment radii whose probes of all segments are one step each; few variants differ in so few bits.
+WHOLE_RADIUS = 2
+#: The first step takes as many radii as it needs to compare about so many codes for each result.
+FIRST_CODES = 10
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
@@ -41,13 +43,47 @@ def sign_code(vector: Column, bits: int = BITS) -> Column:
     return F.when(whole & (F.size(vector) >= bits), code)
 
 
-def _segments(entries: int) -> list[tuple[int, int]]:
-    """(shift, width) of each segment."""
-    count = max(4, min(8, round(BITS / max(8.0, math.log2(max(2, entries))))))
+def _cuts(count: int) -> list[tuple[int, int]]:
+    """(shift, width) of each of ``count`` segments."""
     edges = [round(i * BITS / count) for i in range(count + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
+def _expected_radius(entries: int, k: int) -> int:
+    """The distance within which k of so many random codes lie."""
+    within, radius = 1, 0
+    while entries * within < k << BITS and radius < BITS:
+        radius += 1
+        within += math.comb(BITS, radius)
+    return radius
+
+
+def _segments(entries: int, k: int) -> list[tuple[int, int]]:
+    """The cut with the least work for a query: its probes and the codes that they meet, one unit each.
+
+    Reckoned for random codes; results do not depend on it.
+    """
+    radius = _expected_radius(entries, k)
+
+    def work(count: int) -> float:
+        last, over = divmod(radius, count)
+        total = 0.0
+        for j, (_, width) in enumerate(_cuts(count)):
+            probes = sum(math.comb(width, s) for s in range(last + (j <= over)))
+            total += probes * (1 + entries / (1 << width))
+        return total
+
+    return _cuts(min(range(3, 9), key=work))
+
+
+def _first_radius(cuts: list[tuple[int, int]], entries: int, k: int) -> int:
+    met, radius = 0.0, -1
+    while met < FIRST_CODES * k and radius < WHOLE_RADIUS:
+        radius += 1
+        met += sum(math.comb(width, radius) * entries / (1 << width) for _, width in cuts)
+    return radius
+
+
 def _segment(code: Column, shift: int, width: int) -> Column:
     return F.shiftrightunsigned(code, shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
@@ -67,7 +103,8 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     first = known.withColumn("n", F.row_number().over(by_code)).where(F.col("n") <= k + 1)
     entries = settled(first.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")))
     everything = entries.agg(F.count("*").alias("codes"), F.sum(F.size("ids")).alias("ids")).first()
-    cuts = _segments(everything["codes"])
+    cuts = _segments(everything["codes"], k)
+    first_radius = _first_radius(cuts, everything["codes"], k)
     limit = BITS + 1
     own = known.select("id", F.lit(1).alias("own"))
     others = F.lit(everything["ids"]) - F.coalesce("own", F.lit(0))
@@ -78,8 +115,9 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     )
     found = None
     m = len(cuts)
-    steps = [[(j, s) for s in range(FIRST_RADIUS + 1) for j in range(m)]]
-    steps += [[(j, s)] for s in range(FIRST_RADIUS + 1, max(w for _, w in cuts) + 1) for j in range(m)]
+    steps = [[(j, s) for s in range(first_radius + 1) for j in range(m)]]
+    steps += [[(j, s) for j in range(m)] for s in range(first_radius + 1, WHOLE_RADIUS + 1)]
+    steps += [[(j, s)] for s in range(WHOLE_RADIUS + 1, max(w for _, w in cuts) + 1) for j in range(m)]
     for step in steps:
         if waiting.isEmpty():
             break
