@@ -99,6 +99,23 @@ def test_simhash_of_odd_rows(spark, odd):
     assert simhash.grouped(odd.limit(0)).count() == 0
 
 
+def test_one_of_each_component_where_ids_repeat(spark):
+    a, b, c, d = ("one two three four five", "red green blue black white", "north east south west", "salt sugar flour milk")
+    near = a.upper()  # the same fingerprint, another text
+    rows = [(0, a), (0, b), (0, c), (7, c), (3, near), (None, d), (None, d), (None, near), (None, "x y z"), (0, b), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(5)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.where("doc_id < 9 OR doc_id IS NULL").collect()), key=str)
+    assert found == sorted([(0, a), (0, b), (0, c), (None, d), (None, "x y z")], key=str)
+    assert kept.where("doc_id = 9").count() == 1
+    wrong = spark.createDataFrame([(3, near, "en"), (5, a, "en"), (5, b, "en")], docs.schema)
+    assert {(r.doc_id, r.text) for r in simhash.one_of_each(wrong).collect()} == {(3, near), (5, b)}
+    hot = spark.range(400).selectExpr("0L AS doc_id", "concat_ws(' ', sha(string(id)), md5(string(id)), id, id + 1) AS text")
+    groups = simhash.grouped(hot).select("component_print").distinct().count()
+    assert simhash.one_of_each(hot.unionAll(hot)).count() == groups > 300
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(5, 5), (None, 3)], "a long, b long")
     found = {(r.node, r.root) for r in components(edges, "a", "b").collect()}

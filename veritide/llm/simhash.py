@@ -140,6 +140,17 @@ def _met(prints: DataFrame, own: range, other: range, distance: int, *, inner: b
     return found
 
 
+def _rooted(prints: DataFrame, first: Column, distance: int) -> DataFrame:
+    """``print``, ``first`` (the smallest of its rows) and ``root`` for each distinct fingerprint."""
+    distinct = settled(prints.groupBy("print").agg(F.min(first).alias("first")))
+    # Both sides of the joins on half and variant are dealt by half already.
+    with setting(prints.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        linked = settled(links(distinct.select("print"), distance))
+    tree = components(linked, "hub", "print")
+    roots = tree.select(F.col("node").alias("print"), "root")
+    return distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def grouped(
     documents: DataFrame,
     *,
@@ -153,14 +164,8 @@ def grouped(
     prints = settled(
         documents.select(col(doc_id).alias("doc_id"), fingerprint(col(text), words).alias("print"))
     )
-    distinct = settled(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
-    # Both sides of the joins on half and variant are dealt by half already.
-    with setting(documents.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
-        linked = settled(links(distinct.select("print"), distance))
-    tree = components(linked, "hub", "print")
-    roots = tree.select(F.col("node").alias("print"), "root")
-    rooted = distinct.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = _rooted(prints, F.col("doc_id"), distance)
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = rooted.join(smallest, "root").select("print", "root", "component_id")
     return prints.join(by_print, "print").select(
         "doc_id",
@@ -178,29 +183,20 @@ def one_of_each(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """The documents, one row of each component: that of its smallest id.
+    """The documents, one row of each component: that of its smallest id, null ids last.
 
-    Of rows that share the kept id, the one with the smallest text is kept; a component without any id
-    keeps the row with the smallest text.
+    An id may repeat, in one component or in several: of a component's rows that share its smallest id,
+    the one whose text has the smallest digest is kept, and of rows that share the text too, the smallest
+    by their other columns.
     """
-    groups = grouped(documents, words=words, distance=distance, doc_id=doc_id, text=text)
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = documents.join(keep, col(doc_id) == F.col("kept_id"), "left_semi")
-    kept = _first_row(named, col(doc_id), text)
-    nameless = (
-        groups.where("component_id IS NULL").select("fingerprint", "component_print").distinct()
-    )
-    without = documents.where(col(doc_id).isNull())
-    columns = [col(c) for c in documents.columns]
-    without = without.select(
-        F.struct(*columns).alias("row"), hexadecimal(fingerprint(col(text), words)).alias("fingerprint")
-    ).join(nameless, "fingerprint")
-    first = without.groupBy("component_print").agg(F.min("row").alias("row"))
-    return kept.unionAll(first.select("row.*"))
-
-
-def _first_row(documents: DataFrame, key: Column, text: str) -> DataFrame:
-    order = Window.partitionBy(key).orderBy(F.xxhash64(col(text)), col(text))
-    row = F.struct(*[col(c) for c in documents.columns]).alias("row")
-    ranked = documents.select(row, F.row_number().over(order).alias("rank"))
-    return ranked.where("rank = 1").select("row.*")
+    # An id and a text's digest name a row up to copies. A struct is never null, and equal if its parts are.
+    key = F.struct(col(doc_id).alias("id"), F.unhex(F.sha2(col(text), 256)).alias("digest"))
+    prints = settled(documents.select(key.alias("key"), fingerprint(col(text), words).alias("print")))
+    rooted = _rooted(prints, F.struct(F.col("key.id").isNull().alias("last"), "key"), distance)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.key")
+    # A task leaves one row of each key before the shuffle, so copies in any number are not gathered.
+    rows = documents.select(key.alias("key"), F.struct(*[col(c) for c in documents.columns]).alias("row"))
+    others = [c for c, kind in documents.dtypes if c not in (doc_id, text) and "map<" not in kind]
+    order = [F.col("row").getField(c) for c in others] or [F.lit(0)]
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy(*order)))
+    return ranked.where("rank = 1").join(kept, "key", "left_semi").select("row.*")
