@@ -238,6 +238,35 @@ def test_rotation_of_odd_and_crowded_turns(spark):
     assert all(r.text[a:b] == "same" for r in pieces for a, b in zip(r.starts, r.stops, strict=True))
 
 
+def test_rotation_keeps_the_order_of_crowded_parts(spark):
+    rng = random.Random(6)
+    rows = [(None, rng.randrange(3), rng.choice("xyz"), f"{rng.randrange(10**6)}" * rng.randint(0, 3)) for _ in range(1500)]
+    rows += [(None, 1, "x", "same")] * 700 + [("n", None, "u", str(i)) for i in range(600)]
+    rows += [("e", i % 64, "u", str(i)) for i in range(256)] + [("a", 1, "u", "hi"), ("a", 70, "v", None)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    with duckdb.connect() as db:
+        db.register("conversations", turns.toArrow())
+        listed = db.sql(corpus.ROTATION).fetchall()
+    # The SQL may give the spans of equal turns in any order.
+    numbers = lambda spans: sorted(map(int, spans.split(",")))
+    expected = {tuple(r[:3]): (r[4], r[5], numbers(r[6]), numbers(r[7]), r[8]) for r in listed}
+    found = chat.rotated(turns.repartition(7)).collect()
+    joined = {}
+    for r in sorted(found, key=lambda r: r.piece):
+        all_ = joined.setdefault((r.conversation, r.assistant, r.part), [0, "", [], [], [], []])
+        at = len(all_[1])
+        all_[0] += r.n_turns
+        all_[1] += r.text
+        all_[2] += [at + a for a in r.starts]
+        all_[3] += [at + b for b in r.stops]
+        all_[4] += r["mask"]
+        all_[5].append((r.piece, r.n_turns))
+    written = {k: (n, t, a, b, ",".join(map(str, m))) for k, (n, t, a, b, m, _) in joined.items()}
+    assert written == expected
+    for n, *_, pieces in joined.values():
+        assert pieces == [(i, min(256, n - 256 * i)) for i in range(-(-n // 256))]
+
+
 def test_hamming_matches_brute_force(spark):
     rng = np.random.default_rng(4)
     codes = rng.integers(-(1 << 63), (1 << 63) - 1, 500)

@@ -6,13 +6,15 @@ marks what is learnt from: the assistant's turns.
 
 A conversation is rendered in parts of ``TURNS_PER_PART`` turn numbers, in order, so that no row, task or
 group grows with a conversation: a part is one row for each perspective, with the text, the spans of
-its turns as characters from the part's start, and the mask of each. Joined in the order of ``part``
+its turns as characters from the piece's start, and the mask of each. Joined in the order of ``part``
 and ``piece`` the parts are the whole dialogue. Turns that share a turn number are ordered by speaker
-and text; if one conversation's part holds more turns than ``TURNS_PER_PIECE`` (many rows of one turn
-number), it is cut into pieces by turn number and ranges of a hash, counted before anything is gathered.
+and text, in a part of any size; a piece holds ``TURNS_PER_PIECE`` turns of its part in that order, so only a
+part with more of them (many rows of one turn number) has pieces beyond 0.
 
 Only DataFrame functions run. Speakers are made distinct for each conversation with a combine before
-the shuffle; texts are shuffled for the parts, and once more to meet the conversation's speakers.
+the shuffle; texts are shuffled for the parts, and once more to meet the conversation's speakers. Turns of
+crowded parts are counted by value, dealt by ranges of their order and numbered by sums along the ranges,
+so one part that holds most rows, or one turn that repeats, is spread over all tasks.
 
 Edge cases: null and blank speakers are ``unknown``; a null text is an empty turn; turns without a
 number come last, in a part of their own; rows without a conversation id form one conversation with a
@@ -22,13 +24,17 @@ turns of their own.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritide.llm.common import col
+from veritide.llm.common import col, settled
 
 TURNS_PER_PART = 64
 TURNS_PER_PIECE = 256
+# Ranges of the crowded turns for each shuffle partition; more of them spread a hot part more evenly.
+RANGES_PER_PARTITION = 4
+# Crowded parts up to this number are broadcast; it changes the plan, not the rows.
+BROADCAST_PARTS = 100_000
 SYSTEM = "system"
 #: How a turn is written.
 OPEN, NAME, CLOSE = "<|im_start|>", " name=", "<|im_end|>"
@@ -50,42 +56,67 @@ def rotated(
         col(turn).cast("long").alias("turn"),
         F.when(named == "", "unknown").otherwise(named).alias("speaker"),
         F.coalesce(col(text), F.lit("")).alias("content"),
-        F.monotonically_increasing_id().alias("place"),
     ).withColumn("part", F.floor(F.col("turn") / TURNS_PER_PART))
     people = (
         rows.where(F.col("speaker") != SYSTEM)
         .select("conversation", F.col("speaker").alias("assistant"))
         .distinct()
     )
-    gathered = (
-        _in_pieces(rows)
-        .groupBy("conversation", "part", "piece")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.col("turn").isNull().alias("last"), "turn", "speaker", "content"))
-            ).alias("turns")
-        )
-    )
+    gathered = _gathered(rows)
     same = F.col("g.conversation").eqNullSafe(F.col("p.conversation"))
     both = gathered.alias("g").join(people.alias("p"), same).select("g.*", "p.assistant")
     return _written(both)
 
 
-def _in_pieces(rows: DataFrame) -> DataFrame:
-    """The rows with ``piece``: 0, and in crowded parts by turn number, then by ranges of a hash."""
+def _gathered(rows: DataFrame) -> DataFrame:
+    """``conversation``, ``part``, ``piece`` and ``turns`` in order."""
+    turn = F.struct(F.col("turn").isNull().alias("last"), "turn", "speaker", "content")
     counts = rows.groupBy("conversation", "part").agg(F.count("*").alias("n"))
-    crowded = counts.where(F.col("n") > TURNS_PER_PIECE).select(
-        "conversation", "part", F.ceil(F.col("n") / TURNS_PER_PIECE).alias("pieces")
-    )
-    if crowded.isEmpty():  # the join below would shuffle all texts for nothing
-        return rows.withColumn("piece", F.lit(0).cast("long"))
+    crowded = settled(counts.where(F.col("n") > TURNS_PER_PIECE).select("conversation", "part"))
+    found = crowded.count()
+    if found <= BROADCAST_PARTS:
+        crowded = F.broadcast(crowded)
     same = F.col("r.conversation").eqNullSafe(F.col("c.conversation"))
     same = same & F.col("r.part").eqNullSafe(F.col("c.part"))
-    joined = rows.alias("r").join(crowded.alias("c"), same, "left").select("r.*", "pieces")
-    within = F.coalesce(F.pmod(F.col("turn"), F.lit(TURNS_PER_PART)), F.lit(0))
-    spread = F.pmod(F.xxhash64("turn", "speaker", "content", "place"), F.lit(1 << 30)) / (1 << 30)
-    ranged = within * F.col("pieces") + F.floor(spread * F.col("pieces"))
-    return joined.withColumn("piece", F.coalesce(ranged, F.lit(0)).cast("long")).drop("pieces")
+    few = rows.alias("r").join(crowded.alias("c"), same, "left_anti") if found else rows
+    whole = (
+        few.withColumn("piece", F.lit(0).cast("long"))
+        .groupBy("conversation", "part", "piece")
+        .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    )
+    if not found:
+        return whole
+    many = _in_pieces(rows.alias("r").join(crowded.alias("c"), same, "left_semi"))
+    held = F.sort_array(F.collect_list(F.struct(turn.alias("turn"), "copies")))
+    cut = many.groupBy("conversation", "part", "piece").agg(held.alias("held"))
+    turns = F.flatten(F.transform("held", lambda h: F.array_repeat(h["turn"], h["copies"])))
+    return whole.unionAll(cut.select("conversation", "part", "piece", turns.alias("turns")))
+
+
+def _in_pieces(rows: DataFrame) -> DataFrame:
+    """The distinct rows of crowded parts, with ``piece`` and how many ``copies`` of the row it holds.
+
+    A piece is a row's position in its part, in the order of turn, speaker and content, by ``TURNS_PER_PIECE``.
+    Equal rows are interchangeable, so nothing hangs on how files or tasks deal the rows.
+    """
+    ranges = RANGES_PER_PARTITION * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["turn", "speaker", "content"]
+    distinct = rows.groupBy("conversation", "part", *order).agg(F.count("*").alias("n"))
+    # A struct is never null, and equal if its parts are.
+    own = F.struct("conversation", "part").alias("own")
+    dealt = distinct.repartitionByRange(ranges, "conversation", "part", *order)
+    dealt = settled(dealt.select(own, *order, "n", F.spark_partition_id().alias("range")))
+    before = F.sum("n").over(Window.partitionBy("own").orderBy("range")) - F.col("n")
+    firsts = dealt.groupBy("own", "range").agg(F.sum("n").alias("n")).select("own", "range", before.alias("first"))
+    along = Window.partitionBy("own", "range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ended = dealt.withColumn("end", F.sum("n").over(along)).join(firsts, ["own", "range"])
+    size = F.lit(TURNS_PER_PIECE).cast("long")
+    start, stop = F.col("first") + F.col("end") - F.col("n"), F.col("first") + F.col("end")
+    placed = ended.select("own.*", *order, start.alias("start"), stop.alias("stop"))
+    pieces = F.sequence(F.floor(F.col("start") / size), F.floor((F.col("stop") - 1) / size))
+    each = placed.withColumn("piece", F.explode(pieces))
+    within = F.least("stop", (F.col("piece") + 1) * size) - F.greatest("start", F.col("piece") * size)
+    return each.withColumn("copies", within.cast("int")).drop("start", "stop")
 
 
 def _written(both: DataFrame) -> DataFrame:
