@@ -90,6 +90,24 @@ def test_rates_meet_the_targets(spark):
     assert rates[1] < rates[0] and min(rates) >= 0
 
 
+def test_mixing_leaves_other_domains_their_tokens(spark):
+    # Words a0 to a9, b0 to b9 and z0 to z9; every second document of "z" has no language.
+    docs = spark.range(800).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 4 = 0 THEN 'a' WHEN id % 4 = 1 THEN 'b' ELSE 'z' END AS kind",
+        "IF(id % 4 = 3, NULL, CASE WHEN id % 4 = 0 THEN 'a' WHEN id % 4 = 1 THEN 'b' ELSE 'z' END) AS lang",
+    ).selectExpr("doc_id", "kind", "lang", "array_join(transform(sequence(1, 20), i -> concat(kind, pmod(hash(doc_id, i), 10))), ' ') AS text")
+    labelled = docs.selectExpr("doc_id AS id", "lang AS domain")
+    found, plan = mixing.rated(docs, labelled, {"a": 0.7, "b": 0.3})
+    assert plan.domains == ["a", "b", "other"]
+    assert np.allclose(plan.totals, plan.targets, atol=0.001 * 16000)
+    rates = found.join(docs, "doc_id").groupBy("kind").agg(F.min("rate"), F.max("rate")).collect()
+    assert {k: (round(a, 1), round(b, 1)) for k, a, b in rates} == {"a": (1.4, 1.4), "b": (0.6, 0.6), "z": (1.0, 1.0)}
+    kept = mixing.mixed(docs, labelled, {"a": 0.7, "b": 0.3}).groupBy("kind").count().collect()
+    assert abs(dict(kept)["z"] - 400) < 20 and abs(dict(kept)["a"] - 280) < 30
+    _, same = mixing.rated(docs, labelled.where("domain < 'z'"), {"a": 0.7, "b": 0.3})
+    assert same.domains == ["a", "b"]
+
+
 def test_mixing_of_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(2, "en")], "id long, domain string")
     found, plan = mixing.rated(odd, labelled, {"en": 0.5, "de": 0.5})

@@ -15,7 +15,10 @@
 Only DataFrame functions run; the driver handles numbers of domains and buckets only. A hot domain or
 copies in any number are sums like others.
 
-Edge cases: a null text counts as empty; a document without words has the domains' shares as its
+Labelled documents of domains without a weight are learnt as one more domain, whose target is the tokens
+it has at rate 1: texts like them do not fill the targets of the others, which share out the rest.
+
+Edge cases: a null text counts as empty; labels without a domain teach nothing; a document without words has the domains' shares as its
 posteriors and no weight; a domain without labelled documents is left out, and its target is shared
 among the others in proportion; without any labelled document, or without tokens, all rates are 1.
 """
@@ -36,6 +39,8 @@ SMOOTHING = 0.5
 TEMPERATURES = [0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0]
 STEPS = 40
 PRECISION = 1e-4
+#: The domain of all labelled documents whose own one has no weight; underscores follow where it is taken.
+OTHER = "other"
 
 
 def words(text: Column) -> Column:
@@ -73,7 +78,7 @@ class Classifier:
 def _sample(documents: DataFrame, labelled: DataFrame, per_domain: int, doc_id: str, text: str) -> DataFrame:
     """Texts of up to ``per_domain`` documents of each domain, by the smallest hash of their id.
 
-    ``labelled`` holds domains of a given list only, so their counts are a few numbers."""
+    ``labelled`` holds domains of a given list and one for the others only, so their counts are a few numbers."""
     known = labelled.where("id IS NOT NULL AND domain IS NOT NULL").groupBy("id").agg(F.min("domain").alias("domain"))
     near = F.lit(False)
     for r in known.groupBy("domain").agg(F.count("*").alias("n")).collect():
@@ -94,8 +99,13 @@ def classifier(
     text: str = "text",
 ) -> Classifier | None:
     """Learns from ``labelled`` (``id``, ``domain``). Odd places of the sample make the counts, even ones the
-    temperature. None without labelled documents."""
-    wanted = labelled.where(F.col("domain").isin(domains))
+    temperature. Domains that aren't asked for are one, the last. None without labelled documents."""
+    other = OTHER
+    while other in domains:
+        other += "_"
+    named = F.when(F.col("domain").isin(domains), F.col("domain")).otherwise(other)
+    wanted = labelled.where("domain IS NOT NULL").withColumn("domain", named)
+    domains = [*domains, other]
     sample = settled(_sample(documents, wanted, 2 * per_domain, doc_id, text))
     totals = {r["domain"]: r["n"] for r in wanted.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     learnt = sample.where("place % 2 = 1").select("domain", F.explode(words(F.col("text"))).alias("word"))
@@ -169,7 +179,8 @@ class Plan:
 def fitted(memberships: DataFrame, domains: list[str], weights: dict[str, float]) -> Plan:
     """The steps of projected gradient descent for ``memberships`` (``tokens``, ``posteriors``).
 
-    Targets are the weights' parts of all tokens.
+    A domain without a weight is to keep its tokens; the targets of the others are the weights' parts of
+    all other tokens.
     """
     n = len(domains)
     p = [F.get("posteriors", F.lit(i)) for i in range(n)]
@@ -183,7 +194,8 @@ def fitted(memberships: DataFrame, domains: list[str], weights: dict[str, float]
     asked = sum(weights.get(domains[i], 0) for i in live)
     if not moments["all"] or not asked:
         return Plan(domains, mass, mass, [])
-    targets = [moments["all"] * weights.get(domains[i], 0) / asked if i in live else 0.0 for i in range(n)]
+    free = moments["all"] - sum(mass[i] for i in live if domains[i] not in weights)
+    targets = [mass[i] if domains[i] not in weights else free * weights[domains[i]] / asked if i in live else 0.0 for i in range(n)]
     scaled = [
         [moments[f"m{min(i, j)}_{max(i, j)}"] / math.sqrt(mass[i] * mass[j]) if i in live and j in live else 0.0 for j in range(n)]
         for i in range(n)
