@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import duckdb
@@ -10,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from veritide.llm import bpe, chat, graph_ann, hamming, kd_shards, rans, simhash
@@ -182,6 +184,34 @@ def test_encoders_match_the_library():
         assert decoder.text(encoder.packed(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_what_encoders_remember_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNKS_KEPT", 200_000)
+    monkeypatch.setattr(bpe, "PIECES_KEPT", 200_000)
+    monkeypatch.setattr(rans, "CHUNKS_KEPT", 200_000)
+    encoder, other, rng = bpe.Encoder(Spec.read(PATH)), rans.Library(Spec.read(PATH)), random.Random(6)
+    texts = [" ".join([rng.choice("ab字") * 30_000, *(str(rng.random()) for _ in range(3000))]) for _ in range(5)]
+    for text in texts:
+        assert encoder.packed(text) == other.packed(text)
+        for kept in (encoder.by_chunk, encoder.by_piece, other.by_chunk):
+            held = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in [*kept.items(), *kept.older.items()])
+            assert 0 < held < 420_000
+
+
+def test_round_trip_keeps_clashing_columns_and_hands_on_slices(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 10)
+    docs = spark.createDataFrame([(1, "a b", "x", None), (2, None, "y", 3), (3, "word " * 9000, "", 4)], "doc_id long, text string, ids string, N_TOKENS long")
+    spec = Spec.read(PATH)
+    made = bpe.round_trip(docs.repartition(1), spec, "ids", "n_tokens", "same_text")
+    assert made.columns == ["doc_id", "text", "ids", "N_TOKENS", "ids_", "n_tokens_", "same_text"]
+    rows = {r.doc_id: r for r in made.collect()}
+    assert [rows[i].ids for i in (1, 2, 3)] == ["x", "y", ""] and all(r.same_text for r in rows.values())
+    assert rows[2].n_tokens_ == 0 and rows[3].n_tokens_ * 4 == len(rows[3].ids_)
+    plain = docs.select("doc_id", bpe.encoded(F.col("text"), spec).alias("packed"))
+    back = plain.select("doc_id", bpe.decoded(F.col("packed"), spec).alias("back")).collect()
+    assert {r.doc_id: r.back for r in back} == {1: "a b", 2: "", 3: "word " * 9000}
+    assert bpe.digests(docs.limit(0), spec).count() == 0
+
+
 def test_bpe_query(spark, texts, odd):
     import hashlib
 
@@ -209,6 +239,30 @@ def test_rans_round_trip_and_checksums():
             rans.unpacked(bytes(broken))
 
 
+def test_one_block_is_decoded_from_its_checkpoint():
+    rng = np.random.default_rng(8)
+    flat = rng.zipf(1.2, 3 * rans.BLOCK - 7).clip(0, 50000).astype("<u4")
+    body = bytearray(rans.packed([1, 2], [flat[:1000], flat[1000:]]))
+    segment = rans.Segment.opened(bytes(body))
+    assert (segment.block(1) == flat[rans.BLOCK : 2 * rans.BLOCK]).all()
+    body[-5] ^= 1  # a word of the last block, which the others don't need
+    broken = rans.Segment.opened(bytes(body))
+    assert (broken.block(0) == flat[: rans.BLOCK]).all() and (broken.block(1) == segment.block(1)).all()
+    with pytest.raises(ValueError):
+        broken.block(2)
+
+
+def test_equal_rows_are_spread_over_the_ranges(spark, tmp_path):
+    ids = spark.range(9000, numPartitions=6)
+    hot = F.col("id") % 3 == 0
+    docs = ids.select(F.when(~hot, F.col("id")).alias("doc_id"), F.when(hot, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    rans.write_tokens(docs, Spec.read(PATH), str(tmp_path / "hot"), ranges=12)
+    files = spark.read.parquet(str(tmp_path / "hot")).groupBy("part").agg(F.sum("n_docs").alias("n")).collect()
+    assert sum(r.n for r in files) == 9000 and max(r.n for r in files) < 2 * 9000 / 12
+    back = rans.read_tokens(spark, str(tmp_path / "hot")).orderBy("start").collect()
+    assert [r.doc_id for r in back] == [None] * 3000 + [i for i in range(9000) if i % 3]
+
+
 def test_rans_query(spark, texts, odd, tmp_path):
     library = Tokenizer.from_file(PATH)
     start, expected = 0, {}

@@ -5,9 +5,10 @@ by rank, then from the left. A merge joins two neighbours and queues the pairs t
 entries whose symbols have changed since are stale and skipped. Decoding concatenates the vocabulary
 strings of the ids.
 
-Texts are cut where any context cuts them, at a space before other text; what has been seen
-lately is remembered in two bounded generations. Ids travel as little-endian unsigned 32-bit numbers
-in a binary column, a quarter of what an array of longs takes.
+Texts are cut where any context cuts them, at a space before other text; what a task has seen lately it
+remembers in two generations bounded by bytes, which end with the task. Ids travel as little-endian unsigned
+32-bit numbers in a binary column, a quarter of what an array of longs takes. Results are handed on every
+``SLICE`` bytes of text, and texts that are only compared or hashed don't leave the Python worker.
 
 Edge cases: a null text counts as empty and gives no ids; null ids decode to an empty text; an id
 that the vocabulary doesn't hold fails; invalid UTF-8 is decoded with replacement marks.
@@ -16,21 +17,33 @@ that the vocabulary doesn't hold fails; invalid UTF-8 is decoded with replacemen
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from struct import pack
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.common import col
-from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, per_worker, plain_pieces, stretches
+from veritide.llm.common import col, fresh
+from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, plain_pieces, stretches
 
-CHUNKS_KEPT = 150_000
-PIECES_KEPT = 350_000
+#: Bytes that one generation of what a task remembers takes.
+CHUNKS_KEPT = 8 << 20
+PIECES_KEPT = 32 << 20
+#: Bytes of text after which results are handed on.
+SLICE = 4 << 20
 
-TOKENS = "struct<ids: binary, n_tokens: long, decoded: string>"
+#: Fields that can be made of a text.
+FIELDS = {
+    "ids": ("binary", pa.binary()),
+    "n_tokens": ("long", pa.int64()),
+    "decoded": ("string", pa.string()),
+    "same_text": ("boolean", pa.bool_()),
+    "ids_sha256": ("string", pa.string()),
+    "decoded_sha256": ("string", pa.string()),
+}
 
 
 class Encoder:
@@ -128,14 +141,26 @@ class Decoder:
         return b"".join(map(self.string.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _in_slices(values: Iterator[pa.Array], make, kind: pa.DataType) -> Iterator[pa.Array]:
+    """What ``make`` makes of each value, in arrays of about ``SLICE`` bytes of the values."""
+    for batch in values:
+        out, held = [], 0
+        for value in batch:
+            plain = value.as_py()
+            out.append(make(plain))
+            held += len(plain or "")
+            if held >= SLICE:
+                yield pa.array(out, kind)
+                out, held = [], 0
+        yield pa.array(out, kind)
+
+
 def encoded(text: Column, spec: Spec) -> Column:
     """The ids of a text, packed."""
 
-    @F.pandas_udf("binary")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = per_worker("encoder", spec, Encoder)
-        for texts in parts:
-            yield pd.Series([encoder.packed(t) for t in texts], dtype=object)
+    @F.arrow_udf("binary")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _in_slices(texts, Encoder(spec).packed, pa.binary())
 
     return run(text)
 
@@ -143,41 +168,55 @@ def encoded(text: Column, spec: Spec) -> Column:
 def decoded(ids: Column, spec: Spec) -> Column:
     """The text of packed ids."""
 
-    @F.pandas_udf("string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder = Decoder(spec)
-        for packed in parts:
-            yield pd.Series([decoder.text(p) for p in packed], dtype=object)
+    @F.arrow_udf("string")
+    def run(packed: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _in_slices(packed, Decoder(spec).text, pa.string())
 
     return run(ids)
 
 
-def round_trip(documents: DataFrame, spec: Spec, *, text: str = "text") -> DataFrame:
-    """The documents with ``ids`` (packed), ``n_tokens`` and ``decoded``, made in one pass over the
-    texts; columns of these names are replaced."""
-
-    @F.pandas_udf(TOKENS)
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = per_worker("encoder", spec, Encoder), Decoder(spec)
-        for texts in parts:
-            ids = [encoder.packed(t) for t in texts]
-            yield pd.DataFrame(
-                {"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "decoded": [decoder.text(x) for x in ids]}
-            )
-
-    both = documents.withColumn("decoded", run(col(text)))
-    return (
-        both.withColumn("ids", F.col("decoded.ids"))
-        .withColumn("n_tokens", F.col("decoded.n_tokens"))
-        .withColumn("decoded", F.col("decoded.decoded"))
+def tokens(text: Column, spec: Spec, *fields: str) -> Column:
+    """A struct of the named ``FIELDS`` of a text, encoded and decoded in one pass.
+
+    ``decoded`` is the text that decoding the ids gives, ``same_text`` whether that is the text, and the hashes
+    are SHA-256 in hex of ``ids`` and of ``decoded`` in UTF-8.
+    """
+    names = list(fields)
+    arrow = pa.struct([(name, FIELDS[name][1]) for name in names])
+
+    @F.arrow_udf("struct<" + ", ".join(f"{name}: {FIELDS[name][0]}" for name in names) + ">")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = Encoder(spec), Decoder(spec)
+
+        def made(text: str | None) -> dict:
+            ids = encoder.packed(text)
+            back = decoder.text(ids)
+            whole = {"ids": ids, "n_tokens": len(ids) // 4, "decoded": back, "same_text": back == (text or "")}
+            if "ids_sha256" in names:
+                whole["ids_sha256"] = sha256(ids).hexdigest()
+            if "decoded_sha256" in names:
+                whole["decoded_sha256"] = sha256(back.encode()).hexdigest()
+            return {name: whole[name] for name in names}
+
+        yield from _in_slices(texts, made, arrow)
+
+    return run(text)
+
+
+def round_trip(documents: DataFrame, spec: Spec, *fields: str, text: str = "text") -> DataFrame:
+    """The documents with the named ``FIELDS``, ``ids``, ``n_tokens`` and ``decoded`` if none is named.
+
+    Where the documents have a column of such a name, underscores are added to the new one.
+    """
+    names = list(fields or ("ids", "n_tokens", "decoded"))
+    held = fresh(documents, "tokens")
+    made = documents.withColumn(held, tokens(col(text), spec, *names))
+    return made.select(
+        *[col(c) for c in documents.columns], *[col(held).getField(n).alias(fresh(documents, n)) for n in names]
     )
 
 
-def digests(documents: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
+def digests(documents: DataFrame, spec: Spec, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens`` and the SHA-256 of ids and decoded text of a round trip."""
-    return documents.select(
-        col(doc_id).alias("doc_id"),
-        "n_tokens",
-        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    made = tokens(col(text), spec, "n_tokens", "ids_sha256", "decoded_sha256")
+    return documents.select(col(doc_id).alias("doc_id"), made.alias("made")).select("doc_id", "made.*")

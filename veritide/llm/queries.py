@@ -64,7 +64,7 @@ def op4_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.round_trip(_table(spark, sf_dir, "documents"), _spec()))
+    return bpe.digests(_table(spark, sf_dir, "documents"), _spec())
 
 
 def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,12 +7,12 @@ segment has one table of frequencies, made of its own tokens, which all its bloc
 interleave their words in one stream, so numpy takes a step of all lanes at once.
 
 Bytes of a segment: a header, the table, the checkpoints (for each block its tokens, the place and
-number of its words, and the crc32 of its ids), the index of documents, the states, the words. Any
-block can be decoded from its checkpoint; a checksum that differs fails. ``first`` of a segment counts
+number of its words, and the crc32 of its ids), the index of documents, the states, the words.
+``Segment.block`` decodes one block from its checkpoint; a checksum that differs fails. ``first`` of a segment counts
 the ids before it in its range, so global positions need only the sums of the ranges.
 
 Edge cases: a null text counts as empty and has its end id only; documents without an id come first;
-rows of one id are ordered by a hash of their text; an empty table gives no files' rows.
+rows of one id are ordered by a hash of their text, equal rows as they are read; an empty table gives no files' rows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,14 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritide.llm.common import col
-from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, per_worker, plain_pieces, stretches
+from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, plain_pieces, stretches
 
 SEGMENT = 1 << 21
 BLOCK = 1 << 18
 LANES = 1024
 END = 0
-CHUNKS_KEPT = 150_000
-PIECES_KEPT = 350_000
+#: Bytes that one generation of the chunks takes that a task remembers.
+CHUNKS_KEPT = 40 << 20
 LOW = np.uint64(1 << 31)
 MAGIC = b"VTRANS1\n"
 HEADER = "<8sIIIIIII"  # documents, alphabet, bits, lanes, blocks, table and index bytes
@@ -141,37 +142,57 @@ def packed(ids: list[int | None], tokens: list[np.ndarray]) -> bytes:
     )
 
 
-def unpacked(body: bytes) -> tuple[list[int | None], list[np.ndarray]]:
-    """Ids and tokens of a segment's documents; fails if a block's checksum differs."""
-    magic, documents, size, bits, lanes, blocks, table_size, index_size = struct.unpack_from(HEADER, body)
-    if magic != MAGIC:
-        raise ValueError("not a segment of token ids")
-    at = struct.calcsize(HEADER)
-    static = np.frombuffer(zlib.decompress(body[at : at + table_size]), "<u4").reshape(2, size)
-    table = Table(np.cumsum(static[0]).astype("<u4"), static[1].astype(np.int64), bits)
-    at += table_size
-    checkpoints = np.frombuffer(body, CHECKPOINT, blocks, at)
-    at += checkpoints.nbytes
-    index = np.frombuffer(zlib.decompress(body[at : at + index_size]), INDEX)
-    at += index_size
-    states = np.frombuffer(body, "<u8", blocks * lanes, at).reshape(blocks, lanes)
-    words = np.frombuffer(body, "<u4", offset=at + states.nbytes)
-    parts = []
-    for state, point in zip(states, checkpoints, strict=True):
-        own = words[int(point["word"]) : int(point["word"]) + int(point["words"])]
-        part = table.alphabet[table.decoded(state.astype(np.uint64), own, int(point["tokens"]))]
+@dataclass(frozen=True)
+class Segment:
+    """A segment's head: its table, and where its blocks and its index of documents are."""
+
+    body: bytes
+    documents: int
+    table: Table
+    checkpoints: np.ndarray
+    index: np.ndarray
+    states: int  # where they begin
+    lanes: int
+
+    @staticmethod
+    def opened(body: bytes) -> Segment:
+        magic, documents, size, bits, lanes, blocks, table_size, index_size = struct.unpack_from(HEADER, body)
+        if magic != MAGIC:
+            raise ValueError("not a segment of token ids")
+        at = struct.calcsize(HEADER)
+        static = np.frombuffer(zlib.decompress(body[at : at + table_size]), "<u4").reshape(2, size)
+        table = Table(np.cumsum(static[0]).astype("<u4"), static[1].astype(np.int64), bits)
+        at += table_size
+        checkpoints = np.frombuffer(body, CHECKPOINT, blocks, at)
+        at += checkpoints.nbytes
+        index = np.frombuffer(zlib.decompress(body[at : at + index_size]), INDEX)
+        return Segment(body, documents, table, checkpoints, index, at + index_size, lanes)
+
+    def block(self, number: int) -> np.ndarray:
+        """The ids of one block, from its checkpoint, states and words alone; fails if its checksum differs."""
+        point = self.checkpoints[number]
+        state = np.frombuffer(self.body, "<u8", self.lanes, self.states + 8 * self.lanes * number)
+        words = self.states + 8 * self.lanes * len(self.checkpoints) + 4 * int(point["word"])
+        own = np.frombuffer(self.body, "<u4", int(point["words"]), words)
+        part = self.table.alphabet[self.table.decoded(state.astype(np.uint64), own, int(point["tokens"]))]
         if zlib.crc32(part.tobytes()) != point["crc32"]:
             raise ValueError("a block's checksum differs")
-        parts.append(part)
-    flat = np.concatenate(parts)
-    bounds = np.concatenate([[0], np.cumsum(index["tokens"].astype(np.int64))])
-    ids = [int(r["id"]) if r["known"] else None for r in index]
-    assert len(ids) == documents and bounds[-1] == len(flat)
+        return part
+
+
+def unpacked(body: bytes) -> tuple[list[int | None], list[np.ndarray]]:
+    """Ids and tokens of a segment's documents; fails if a block's checksum differs."""
+    segment = Segment.opened(body)
+    flat = np.concatenate([segment.block(i) for i in range(len(segment.checkpoints))])
+    bounds = np.concatenate([[0], np.cumsum(segment.index["tokens"].astype(np.int64))])
+    ids = [int(r["id"]) if r["known"] else None for r in segment.index]
+    if len(ids) != segment.documents or bounds[-1] != len(flat):
+        raise ValueError("a segment's index differs from its blocks")
     return ids, [flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 class Library:
-    """Ids by the tokenizers library; what it made of a piece lately is remembered. Pieces go to its
+    """Ids by the tokenizers library; what it made of a chunk lately is remembered. Pieces go to its
     BPE model; the start of a text and what holds an added token go through the whole tokenizer."""
 
     def __init__(self, spec: Spec):
@@ -186,14 +207,16 @@ class Library:
         self.model = self.tokenizer.model
         self.added = [t["content"] for t in spec.parsed().get("added_tokens", [])]
         self.letters = {b: ord(x) for b, x in enumerate(byte_letters())}
-        self.by_piece = Recent(self._piece, PIECES_KEPT)
+        self.space = byte_letters()[ord(" ")]
         self.by_chunk = Recent(self._chunk, CHUNKS_KEPT)
 
-    def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+    def _model(self, letters: str) -> bytes:
         ids = [token.id for token in self.model.tokenize(letters)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        return self._model(piece.encode().decode("latin-1").translate(self.letters))
+
     def _first(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -203,8 +226,10 @@ class Library:
         if pieces is None:
             if any(token in chunk for token in self.added):
                 return self._first(" " + chunk)
-            pieces = PIECE.findall(" " + chunk)
-        return b"".join(map(self.by_piece.__getitem__, pieces))
+            return b"".join(map(self._piece, PIECE.findall(" " + chunk)))
+        if len(pieces) == 2:  # a word and a stop
+            return self.by_chunk[chunk[:-1]] + self._model(pieces[1])
+        return self._model(self.space + chunk) if chunk.isascii() else self._piece(pieces[0])
 
     def packed(self, text: str | None) -> bytes:
         return stretches(text or "", self._first, self.by_chunk)
@@ -217,7 +242,7 @@ def _segments(spec: Spec):
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, library = TaskContext.get().partitionId(), per_worker("library", spec, Library)
+        part, library = TaskContext.get().partitionId(), Library(spec)
         end = np.array([END], "<u4").tobytes()
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
@@ -253,11 +278,12 @@ def write_tokens(
         col(doc_id).isNotNull().alias("known"),
         col(text).alias("text"),
         F.xxhash64(col(text)).alias("tie"),
+        F.monotonically_increasing_id().alias("place"),
     )
-    ordered = rows.repartitionByRange(ranges, "known", "doc_id", "tie").sortWithinPartitions(
-        "known", "doc_id", "tie", "text"
-    )
-    ordered.mapInPandas(_segments(spec), FILE).write.parquet(folder)
+    # Rows of one id and text are interchangeable; their places part them, so many of them fill no range.
+    order = ["known", "doc_id", "tie", "place"]
+    ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ordered.drop("tie", "place").mapInPandas(_segments(spec), FILE).write.parquet(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:

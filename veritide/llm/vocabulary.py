@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-import sys
-import types
 from dataclasses import dataclass
 
 import regex
@@ -51,21 +49,28 @@ class Spec:
             raise ValueError("only plain byte-level BPE files are supported")
 
 
+#: Longer keys are found anew each time, so a long stretch takes no memory once its text is done.
+LONGEST_KEY = 64
+ENTRY = 200  # bytes that an entry takes besides its key's characters, four bytes each at most, and its value's
+
+
 class Recent(dict):
     """Remembers what ``find`` made of a key; of two generations the older is forgotten when the
-    newer has ``limit`` keys, so frequent keys stay and memory is bounded."""
+    newer has ``limit`` bytes, so frequent keys stay and memory is bounded whatever the keys are."""
 
     def __init__(self, find, limit: int):
-        self.find, self.limit, self.older = find, limit, {}
+        self.find, self.limit, self.older, self.held = find, limit, {}, 0
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.find(key)
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
+        if len(key) <= LONGEST_KEY:
+            self.held += 4 * len(key) + len(value) + ENTRY
+            if self.held > self.limit:
+                self.older, self.held = dict(self), 0
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -92,14 +97,6 @@ def plain_pieces(chunk: str) -> list[str] | None:
     return None
 
 
-def per_worker(name: str, spec: Spec, make):
-    """One object for all tasks of a Python worker, so that what it remembers serves them all."""
-    kept = sys.modules.setdefault("_veritide_worker", types.ModuleType("_veritide_worker")).__dict__
-    if name not in kept or kept[name][0] != spec.content:
-        kept[name] = (spec.content, make(spec))
-    return kept[name][1]
-
-
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable ones for themselves, others from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
