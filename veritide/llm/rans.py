@@ -21,9 +21,12 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,9 +37,13 @@ SEGMENT = 1 << 21
 BLOCK = 1 << 18
 LANES = 1024
 END = 0
-#: Bytes that one generation of the chunks takes that a task remembers.
+#: Bytes that one generation of what a task remembers takes.
 CHUNKS_KEPT = 40 << 20
+PIECES_KEPT = 8 << 20
+#: Bytes of text that are tokenized together.
+SLICE = 4 << 20
 LOW = np.uint64(1 << 31)
+ID = attrgetter("id")
 MAGIC = b"VTRANS1\n"
 HEADER = "<8sIIIIIII"  # documents, alphabet, bits, lanes, blocks, table and index bytes
 CHECKPOINT = np.dtype([("tokens", "<u4"), ("word", "<u8"), ("words", "<u4"), ("crc32", "<u4")])
@@ -199,19 +206,24 @@ class Library:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_str(spec.content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        self.added = [t["content"] for t in spec.parsed().get("added_tokens", [])]
+        parsed = spec.parsed()
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["model"]["merges"]]
+        # The library's own memory of pieces would be asked in vain: pieces come here once.
+        self.model = models.BPE(parsed["model"]["vocab"], merges, cache_capacity=0)
+        self.added = [t["content"] for t in parsed.get("added_tokens", [])]
         self.letters = {b: ord(x) for b, x in enumerate(byte_letters())}
         self.space = byte_letters()[ord(" ")]
         self.by_chunk = Recent(self._chunk, CHUNKS_KEPT)
+        self.by_piece = Recent(self._piece, PIECES_KEPT)
+        self.by_line = Recent(self._line, PIECES_KEPT)
 
     def _model(self, letters: str) -> bytes:
-        ids = [token.id for token in self.model.tokenize(letters)]
+        ids = list(map(ID, self.model.tokenize(letters)))
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, piece: str) -> bytes:
@@ -221,43 +233,104 @@ class Library:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _line(self, part: str) -> bytes:
+        """The ids of what stands between line breaks, or a line break and a space; no white space at its edges."""
+        if any(token in part for token in self.added):
+            return self._first(part)
+        return b"".join(map(self.by_piece.__getitem__, PIECE.findall(part)))
+
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._model(self.space + chunk) if chunk.isascii() else self._piece(" " + chunk)
         pieces = plain_pieces(chunk)
         if pieces is None:
+            head, *lines = chunk.split("\n")
+            if lines and not any(not x or x[0].isspace() or x[-1].isspace() for x in (head, *lines)):
+                # A line break alone between other text is a piece, whatever stands around it.
+                found = [self.by_chunk[head]]
+                for line in lines:
+                    found += [self.by_piece["\n"], self.by_line[line]]
+                return b"".join(found)
             if any(token in chunk for token in self.added):
                 return self._first(" " + chunk)
-            return b"".join(map(self._piece, PIECE.findall(" " + chunk)))
-        if len(pieces) == 2:  # a word and a stop
-            return self.by_chunk[chunk[:-1]] + self._model(pieces[1])
-        return self._model(self.space + chunk) if chunk.isascii() else self._piece(pieces[0])
+            pieces = PIECE.findall(" " + chunk)
+        word, *rest = pieces  # a word that stands alone elsewhere, and what follows it
+        first = self.by_chunk[word[1:]] if word[1:].isalpha() else self.by_piece[word]
+        return first + b"".join(map(self.by_piece.__getitem__, rest))
 
     def packed(self, text: str | None) -> bytes:
         return stretches(text or "", self._first, self.by_chunk)
 
+    def tokens(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (null: empty), each with the end id. A chunk that the texts share is looked up once."""
+        texts = texts.fill_null("")
+        chunks = pc.split_pattern(texts, " ")
+        bounds = chunks.offsets.to_numpy().astype(np.int64)
+        coded = chunks.flatten().dictionary_encode()
+        number, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        leading = np.zeros(len(number), bool)
+        leading[bounds[:-1]] = True
+        wanted, cuttable, found = np.zeros(len(words), bool), np.ones(len(words), bool), [b""] * len(words)
+        wanted[number[~leading]] = True
+        find = self.by_chunk.__getitem__
+        for i in np.flatnonzero(wanted).tolist():
+            try:
+                found[i] = find(words[i])
+            except KeyError:  # white space after a space: not every space is a cut
+                cuttable[i] = False
+        sizes = np.array([len(x) for x in found], np.int64) // 4
+        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
+        each = np.where(leading, 0, sizes[number])
+        ends = np.concatenate([[0], np.cumsum(each)])
+        taken = np.repeat(starts[number] - ends[:-1], each) + np.arange(ends[-1])
+        ids, places = flat[taken], ends[bounds]
+        whole = np.logical_and.reduceat(cuttable[number] | leading, bounds[:-1]) if len(texts) else []
+        out, end = [], np.array([END], "<u4")
+        for i, (word, plain) in enumerate(zip(number[bounds[:-1]].tolist(), whole, strict=True)):
+            if plain:
+                first = np.frombuffer(self._first(words[word]), "<u4")
+                out.append(np.concatenate([first, ids[places[i] : places[i + 1]], end]))
+            else:
+                out.append(np.concatenate([np.frombuffer(self.packed(texts[i].as_py()), "<u4"), end]))
+        return out
+
 
 FILE = "part int, first long, n_docs long, n_tokens long, body binary"
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``SLICE`` bytes of text each; a row's text is not cut."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        runs = np.cumsum(sizes.astype(np.int64)) // SLICE
+        edges = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(sizes)]
+        for a, z in zip(edges, edges[1:], strict=False):
+            if z > a:
+                yield batch.slice(a, z - a)
+
+
 def _segments(spec: Spec):
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, library = TaskContext.get().partitionId(), Library(spec)
-        end = np.array([END], "<u4").tobytes()
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
         first = held = 0
 
-        def row() -> pd.DataFrame:
-            row = (part, first, len(ids), held, packed(ids, tokens))
-            return pd.DataFrame([row], columns=["part", "first", "n_docs", "n_tokens", "body"])
-
-        for frame in frames:
-            known = frame["known"].to_numpy()
-            for i, doc_id, text in zip(range(len(frame)), frame["doc_id"], frame["text"], strict=True):
-                ids.append(int(doc_id) if known[i] else None)
-                tokens.append(np.frombuffer(library.packed(text) + end, "<u4"))
-                held += len(tokens[-1])
+        def row() -> pa.RecordBatch:
+            values = part, first, len(ids), held, packed(ids, tokens)
+            kinds = pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()
+            arrays = [pa.array([v], kind) for v, kind in zip(values, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=["part", "first", "n_docs", "n_tokens", "body"])
+
+        for batch in _slices(batches):
+            known = batch.column("known").to_pylist()
+            made = library.tokens(batch.column("text"))
+            for doc_id, is_id, own in zip(batch.column("doc_id").to_pylist(), known, made, strict=True):
+                ids.append(doc_id if is_id else None)
+                tokens.append(own)
+                held += len(own)
                 if held >= SEGMENT:
                     yield row()
                     first, held, ids, tokens = first + held, 0, [], []
@@ -283,7 +356,7 @@ def write_tokens(
     # Rows of one id and text are interchangeable; their places part them, so many of them fill no range.
     order = ["known", "doc_id", "tie", "place"]
     ordered = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    ordered.drop("tie", "place").mapInPandas(_segments(spec), FILE).write.parquet(folder)
+    ordered.drop("tie", "place").mapInArrow(_segments(spec), FILE).write.parquet(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
