@@ -18,6 +18,8 @@ rows of one id are ordered by a hash of their text, equal rows as they are read;
 from __future__ import annotations
 
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +28,6 @@ from operator import attrgetter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +41,6 @@ END = 0
 #: Bytes that one generation of what a task remembers takes.
 CHUNKS_KEPT = 40 << 20
 PIECES_KEPT = 8 << 20
-#: Bytes of text that are tokenized together.
-SLICE = 4 << 20
 LOW = np.uint64(1 << 31)
 ID = attrgetter("id")
 MAGIC = b"VTRANS1\n"
@@ -198,24 +197,32 @@ def unpacked(body: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     return ids, [flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-class Library:
-    """Ids by the tokenizers library; what it made of a chunk lately is remembered. Pieces go to its
-    BPE model; the start of a text and what holds an added token go through the whole tokenizer."""
-
-    def __init__(self, spec: Spec):
+def _models(spec: Spec) -> tuple:
+    """The library's tokenizer and BPE model, made once for a Python worker; their size is the vocabulary's."""
+    kept = sys.modules.setdefault("_veritide_models", types.ModuleType("_veritide_models")).__dict__
+    if kept.get("content") != spec.content:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, models
 
-        self.tokenizer = Tokenizer.from_str(spec.content)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        parsed = spec.parsed()
+        tokenizer, parsed = Tokenizer.from_str(spec.content), spec.parsed()
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["model"]["merges"]]
         # The library's own memory of pieces would be asked in vain: pieces come here once.
-        self.model = models.BPE(parsed["model"]["vocab"], merges, cache_capacity=0)
-        self.added = [t["content"] for t in parsed.get("added_tokens", [])]
+        model = models.BPE(parsed["model"]["vocab"], merges, cache_capacity=0)
+        added = [t["content"] for t in parsed.get("added_tokens", [])]
+        kept.update(content=spec.content, models=(tokenizer, model, added))
+    return kept["models"]
+
+
+class Library:
+    """Ids by the tokenizers library; what it made of a chunk lately is remembered. Pieces go to its
+    BPE model; the start of a text and what holds an added token go through the whole tokenizer."""
+
+    def __init__(self, spec: Spec):
+        self.tokenizer, self.model, self.added = _models(spec)
         self.letters = {b: ord(x) for b, x in enumerate(byte_letters())}
         self.space = byte_letters()[ord(" ")]
         self.by_chunk = Recent(self._chunk, CHUNKS_KEPT)
@@ -261,54 +268,10 @@ class Library:
     def packed(self, text: str | None) -> bytes:
         return stretches(text or "", self._first, self.by_chunk)
 
-    def tokens(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text (null: empty), each with the end id. A chunk that the texts share is looked up once."""
-        texts = texts.fill_null("")
-        chunks = pc.split_pattern(texts, " ")
-        bounds = chunks.offsets.to_numpy().astype(np.int64)
-        coded = chunks.flatten().dictionary_encode()
-        number, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        leading = np.zeros(len(number), bool)
-        leading[bounds[:-1]] = True
-        wanted, cuttable, found = np.zeros(len(words), bool), np.ones(len(words), bool), [b""] * len(words)
-        wanted[number[~leading]] = True
-        find = self.by_chunk.__getitem__
-        for i in np.flatnonzero(wanted).tolist():
-            try:
-                found[i] = find(words[i])
-            except KeyError:  # white space after a space: not every space is a cut
-                cuttable[i] = False
-        sizes = np.array([len(x) for x in found], np.int64) // 4
-        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(found), "<u4")
-        each = np.where(leading, 0, sizes[number])
-        ends = np.concatenate([[0], np.cumsum(each)])
-        taken = np.repeat(starts[number] - ends[:-1], each) + np.arange(ends[-1])
-        ids, places = flat[taken], ends[bounds]
-        whole = np.logical_and.reduceat(cuttable[number] | leading, bounds[:-1]) if len(texts) else []
-        out, end = [], np.array([END], "<u4")
-        for i, (word, plain) in enumerate(zip(number[bounds[:-1]].tolist(), whole, strict=True)):
-            if plain:
-                first = np.frombuffer(self._first(words[word]), "<u4")
-                out.append(np.concatenate([first, ids[places[i] : places[i + 1]], end]))
-            else:
-                out.append(np.concatenate([np.frombuffer(self.packed(texts[i].as_py()), "<u4"), end]))
-        return out
-
 
 FILE = "part int, first long, n_docs long, n_tokens long, body binary"
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``SLICE`` bytes of text each; a row's text is not cut."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        runs = np.cumsum(sizes.astype(np.int64)) // SLICE
-        edges = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(sizes)]
-        for a, z in zip(edges, edges[1:], strict=False):
-            if z > a:
-                yield batch.slice(a, z - a)
-
-
 def _segments(spec: Spec):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -324,13 +287,12 @@ def _segments(spec: Spec):
             arrays = [pa.array([v], kind) for v, kind in zip(values, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["part", "first", "n_docs", "n_tokens", "body"])
 
-        for batch in _slices(batches):
-            known = batch.column("known").to_pylist()
-            made = library.tokens(batch.column("text"))
-            for doc_id, is_id, own in zip(batch.column("doc_id").to_pylist(), known, made, strict=True):
-                ids.append(doc_id if is_id else None)
-                tokens.append(own)
-                held += len(own)
+        end = np.array([END], "<u4").tobytes()
+        for batch in batches:
+            for doc_id, is_id, text in zip(*(batch.column(c) for c in ("doc_id", "known", "text")), strict=True):
+                ids.append(doc_id.as_py() if is_id.as_py() else None)
+                tokens.append(np.frombuffer(library.packed(text.as_py()) + end, "<u4"))
+                held += len(tokens[-1])
                 if held >= SEGMENT:
                     yield row()
                     first, held, ids, tokens = first + held, 0, [], []
