@@ -146,6 +146,22 @@ def test_sharding_cuts_copies_and_odd_rows(spark, odd):
     assert kd_shards.sharded(odd.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("shards,hot", [(40, 3), (8, 1)])
+def test_sharding_cuts_long_equal_rows(spark, shards, hot):
+    ids = spark.range(4000, numPartitions=5)
+    same = F.col("id") % hot == 0
+    docs = ids.select(
+        F.when(~same, F.col("id")).alias("doc_id"),
+        F.when(same, F.repeat(F.lit("a"), 5000)).otherwise(F.repeat(F.lit("bc"), (F.col("id") % 4000).cast("int"))).alias("text"),
+        F.lit("en").alias("lang"),
+        F.when(same, "s").otherwise(F.concat(F.lit("t"), F.col("id") % 7)).alias("source"),
+        F.when(same, 5000).otherwise(F.col("id") % 4000 * 2).alias("n_chars"),
+    )
+    found = kd_shards.sharded(docs, shards).groupBy("shard").agg(F.sum("size").alias("size"), F.count("*").alias("n")).toPandas()
+    assert len(found) == shards and found["n"].sum() == 4000
+    assert found["size"].max() - found["size"].min() < 3 * 8016
+
+
 def test_graph_search_recall_and_order(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(3000, 24)) * rng.uniform(0.5, 2, (3000, 1))
@@ -170,6 +186,52 @@ def test_graph_search_recall_and_order(spark):
     assert graph_ann.nearest(empty, empty, 10).count() == 0
 
 
+def test_rows_of_one_id_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(graph_ann, "SHARD_ROWS", 50)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(160, 6))
+    x[40:44] = x[40]
+    ids = [i // 2 for i in range(160)]
+    ids[40:44] = [20] * 4
+    rows = list(zip(ids, x.tolist())) + [(500, [-0.0, 1.0, 0.0, 0.0, 0.0, 0.0])] * 30 + [(501, [0.0, 1.0, 0.0, 0.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "id long, vector array<double>").repartition(3)
+    found = graph_ann.nearest(vectors, vectors.where("id % 20 = 0"), 7).toPandas()
+    expected = []
+    for n, (own, v) in enumerate(rows):
+        if own % 20 == 0:
+            scores = sorted((-float(np.dot(u, v)), i) for m, (i, u) in enumerate(rows) if m != n)[:7]
+            expected += [(own, r, i, round(-s, 9)) for r, (s, i) in enumerate(scores, 1)]
+    got = sorted((r.query_id, r["rank"], r["id"], round(r.score, 9)) for _, r in found.iterrows())
+    assert got == sorted(expected)
+
+
+@pytest.mark.parametrize("rows,size", [(12_000, 64), (50_000, 16)])
+def test_recall_on_vectors_of_free_length(spark, rows, size):
+    x = np.random.default_rng(11).normal(size=(rows, size)) * np.random.default_rng(12).uniform(0.2, 3, (rows, 1))
+    data = [(i, v) for i, v in enumerate(x.tolist())]
+    vectors = spark.createDataFrame(data, "id long, vector array<double>").repartition(4)
+    found = graph_ann.nearest(vectors, vectors.where(f"id % {rows // 150} = 0"), 20).toPandas()
+    hits = total = 0
+    for q, part in found.groupby("query_id"):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += (part["score"] >= np.sort(scores)[-20] - 1e-9).sum()
+        total += 20
+    assert total >= 150 * 20 and hits >= 0.9 * total
+
+
+def test_sign_codes_take_every_component(spark):
+    rng = np.random.default_rng(13)
+    same = rng.normal(size=64)
+    rows = [(64, same.tolist()), *((n, [*same.tolist(), *(rng.normal(size=n - 64) * 9).tolist()]) for n in (128, 129))]
+    rows += [(32, same[:32].tolist()), (1, [2.0]), (0, []), (2, [1.0, None]), (3, [float("inf")]), (4, None)]
+    frame = spark.createDataFrame(rows, "id long, v array<double>")
+    code = {r.id: r.code for r in frame.select("id", hamming.sign_code(F.col("v")).alias("code")).collect()}
+    plain = sum(1 << i for i in range(64) if same[i] > 0)
+    assert code[64] % (1 << 64) == plain and code[32] % (1 << 64) == plain % (1 << 32) and code[1] == 1
+    assert len({code[64], code[128], code[129]}) == 3 and [code[i] for i in (0, 2, 3, 4)] == [None] * 4
+
+
 def test_encoders_match_the_library():
     library = Tokenizer.from_file(PATH)
     spec = Spec.read(PATH)

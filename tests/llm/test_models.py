@@ -149,3 +149,28 @@ def test_mixing_sample_is_that_of_the_whole_table(spark):
     found = {(r.domain, r.id) for r in mixing._sample(docs, labelled, 200, "doc_id", "text").collect()}
     ranked = labelled.selectExpr("*", "row_number() OVER (PARTITION BY domain ORDER BY xxhash64(id), id) AS n")
     assert found == {(r.domain, r.id) for r in ranked.where("n <= 200").collect()}
+
+
+def test_repeated_ids_draw_for_each_row(spark):
+    labelled = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(2, 60)], "id long, domain string")
+    known = [(i, "apple ant arrow" if i % 2 else "bee bear bread", "x") for i in range(2, 60)]
+    docs = spark.createDataFrame(known + [(None, "apple ant arrow", "x")] * 2000, "doc_id long, text string, draw string")
+    kept = mixing.mixed(docs.repartition(3), labelled, {"a": 0.2, "b": 0.8})
+    found, plan = mixing.rated(docs, labelled, {"a": 0.2, "b": 0.8})
+    rate = found.where("doc_id IS NULL").first()["rate"]
+    assert 0.001 < rate < 0.9 and kept.columns == docs.columns
+    n = kept.where("doc_id IS NULL").count()
+    assert abs(n - 2000 * rate) < 6 * np.sqrt(2000 * rate * (1 - rate)) + 1
+
+
+def test_stages_keep_columns_named_like_their_results(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.selectExpr("*", "'own' AS score", "'mine' AS passages", "'x' AS predicted", "'y' AS tokens", "7 AS draw")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns, name
+        rows = kept.select("score", "passages", "predicted", "tokens", "draw").distinct().collect()
+        assert [tuple(r) for r in rows] == [("own", "mine", "x", "y", 7)], name

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a robust-pruned directed graph (Subramanya and others 2019).
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of their id, so shards grow in number
+Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of id and vector, so shards grow in number
 and not in size. Each shard builds its own graph: a greedy search from the middle of the shard
 proposes neighbours for a node, relaxed distance pruning keeps diverse ones (a candidate is dropped
 if a kept neighbour is ``ALPHA`` times nearer to it than the node is), and edges are added both ways
@@ -14,9 +14,14 @@ in double precision of the original vectors, ties to the smaller id.
 Equal vectors of a shard are one node that stands for its smallest ids; k + 1 of them are all that a
 result can hold.
 
-Edge cases: vectors that are null, zero, or hold null or non-finite components take no part; of
-several vectors of one id the smallest counts; vectors meet those of their own length only; with fewer
-than k candidates all that the search meets are returned.
+What a beam finds depends on the data: directions without clusters and lengths that vary need wide ones. So
+``SAMPLE`` queries are compared with all rows first, and the beam doubles until it finds ``RECALL`` of their nearest;
+one as wide as a shard is a comparison with all of its rows.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows
+without an id; rows of one id are rows of their own, as queries and as candidates, and of the rows with a query's
+id and vector one is its own and left out; vectors meet those of their own length only; with fewer than k
+candidates all are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +43,9 @@ BEAM = 160
 ALPHA = 1.2
 INSERTED_AT_ONCE = 512
 SEARCHED_AT_ONCE = 256
+#: Queries that the beam is chosen by, and the part of their nearest that it is to find.
+SAMPLE = 64
+RECALL = 0.95
 
 
 class Graph:
@@ -166,10 +174,15 @@ def _unpacked(column: pd.Series, kind: str) -> np.ndarray:
     return np.stack([np.frombuffer(b, kind) for b in column]) if len(column) else np.zeros((0, 1), kind)
 
 
+def _stacked(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_list()).astype(np.float64) + 0.0  # a zero has one sign
+
+
 def _index(k: int):
     def index(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("id")
-        vectors = np.stack(shard["vector"].to_list()).astype(np.float64)
+        shard = shard.loc[shard.index.repeat(shard["copies"].clip(upper=k + 1))]
+        vectors = _stacked(shard["vector"])
         distinct, which = np.unique(vectors, axis=0, return_inverse=True)
         order = np.argsort(which.ravel(), kind="stable")
         bounds = np.cumsum(np.bincount(which.ravel()))[:-1]
@@ -192,42 +205,115 @@ def _index(k: int):
     return index
 
 
+FOUND = "query long, query_id long, id long, score double"
+
+
+def _best(score: np.ndarray, where: np.ndarray, members: list[np.ndarray], same: int, own: int, k: int) -> Iterator[tuple[int, float]]:
+    """Ids and scores of the k best rows and of those that tie with the last. Of the node ``same``, which has the query's
+    vector, one row of its id is left out."""
+    kept, last = 0, np.inf
+    for b in np.argsort(-score, kind="stable"):
+        if kept >= k and score[b] < last:
+            return
+        last, ids = score[b], members[where[b]].tolist()
+        if where[b] == same and own in ids:
+            ids.remove(own)
+        for other in ids:
+            yield other, float(score[b])
+        kept += len(ids)
+
+
 def _search(k: int, beam: int):
     def search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(index) or not len(queries):
-            return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
-        index = index.sort_values("node")
-        graph = Graph(_unpacked(index["point"], "f4"), _unpacked(index["edges"], "i4"), int(index["entry"].iloc[0]))
-        exact = _unpacked(index["vector"], "f8")
-        members = [np.frombuffer(b, np.int64) for b in index["ids"]]
-        asked = np.stack(queries["vector"].to_list()).astype(np.float64)
-        query_ids = queries["id"].to_numpy()
-        out: list[tuple[int, int, float]] = []
-        for at in range(0, len(asked), SEARCHED_AT_ONCE):
-            block = asked[at : at + SEARCHED_AT_ONCE]
-            # A query's length doesn't change what is nearest in the lifted space.
-            unit = block / np.linalg.norm(block, axis=1, keepdims=True) * np.linalg.norm(graph.points[0])
-            target = np.concatenate([unit, np.zeros((len(block), 1))], axis=1).astype(np.float32)
-            place, far = graph.beam(target, beam)
-            for row, (where, d) in enumerate(zip(place, far, strict=True)):
-                where = where[np.isfinite(d)]
-                score = exact[where] @ block[row]
-                best = np.argsort(-score, kind="stable")
-                own, kept = int(query_ids[at + row]), 0
-                last = np.inf
-                for b in best:
-                    if kept >= k and score[b] < last:
-                        break
-                    last = score[b]
-                    for other in members[where[b]]:
-                        if other != own:
-                            out.append((own, int(other), float(score[b])))
-                            kept += 1
-        return pd.DataFrame(out, columns=["query_id", "id", "score"])
+        out: list[tuple[int, int, int, float]] = []
+        if len(index) and len(queries):
+            index = index.sort_values("node")
+            graph = Graph(_unpacked(index["point"], "f4"), _unpacked(index["edges"], "i4"), int(index["entry"].iloc[0]))
+            exact = _unpacked(index["vector"], "f8")
+            members = [np.frombuffer(b, np.int64) for b in index["ids"]]
+            node = {b: i for i, b in enumerate(index["vector"])}
+            asked = _stacked(queries["vector"])
+            numbers, ids = queries["query"].tolist(), queries["id"].tolist()
+            for at in range(0, len(asked), SEARCHED_AT_ONCE):
+                block = asked[at : at + SEARCHED_AT_ONCE]
+                if beam >= len(exact):
+                    met = [np.arange(len(exact))] * len(block)
+                else:
+                    # A query's length doesn't change what is nearest in the lifted space.
+                    unit = block / np.linalg.norm(block, axis=1, keepdims=True) * np.linalg.norm(graph.points[0])
+                    target = np.concatenate([unit, np.zeros((len(block), 1))], axis=1).astype(np.float32)
+                    met = [where[np.isfinite(d)] for where, d in zip(*graph.beam(target, beam), strict=True)]
+                for row, where in enumerate(met):
+                    query, own = numbers[at + row], ids[at + row]
+                    score = exact[where] @ block[row]
+                    same = node.get(block[row].tobytes(), -1)
+                    out += [(query, own, i, s) for i, s in _best(score, where, members, same, own, k)]
+        names = [f.split()[0] for f in FOUND.split(", ")]
+        return pd.DataFrame(out, columns=names).astype({n: "float64" if n == "score" else "int64" for n in names})
 
     return search
 
 
+def _compared(rows: DataFrame, sample: list[tuple], k: int) -> DataFrame:
+    """The best k + 1 scores of a few queries in each task's rows, and whether a row is the query's own or like it."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            held: list[tuple[int, float, bool]] = []
+            for size, part in frame.groupby("size"):
+                vectors, ids = _stacked(part["vector"]), part["id"].to_numpy()
+                copies = np.minimum(part["copies"].to_numpy(), k + 1)
+                for query, own, vector in sample:
+                    if len(vector) == size:
+                        score = vectors @ np.array(vector)
+                        for at in np.argsort(-score, kind="stable")[: k + 1]:
+                            like = bool(ids[at] == own and (vectors[at] == vector).all())
+                            held += [(query, float(score[at]), like)] * copies[at]
+            yield pd.DataFrame(held, columns=["query", "score", "own"])
+
+    found = rows.select("id", "vector", "size", "copies").mapInPandas(run, "query long, score double, own boolean")
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("own").desc())
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "id")
+    return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+
+
+def _beam(rows: DataFrame, asked: DataFrame, indexes: DataFrame, shards: int, k: int, beam: int, widest: int) -> int:
+    """The beam that finds ``RECALL`` of the nearest of a few queries, doubled until it does. At most ``SAMPLE`` queries and
+    their results are on the driver."""
+    some = settled(asked.orderBy(F.xxhash64("id", "query")).limit(SAMPLE))
+    sample = [(r["query"], r["id"], r["vector"]) for r in some.collect()]
+    scores: dict[int, list[tuple[bool, float]]] = {}
+    for r in _compared(rows, sample, k).collect():
+        scores.setdefault(r["query"], []).append((r["own"], r["score"]))
+    least, total = {}, 0
+    for query, found in scores.items():
+        if any(own for own, _ in found):  # one row is the query's own
+            found.remove(max(x for x in found if x[0]))
+        nearest = sorted((score for _, score in found), reverse=True)[:k]
+        if nearest:
+            least[query], total = nearest[-1] - 1e-9 * abs(nearest[-1]), total + len(nearest)
+    while beam < widest:
+        met = _ranked(_met(indexes, some, shards, 1, k, beam), k).collect()
+        if sum(r["score"] >= least.get(r["query"], np.inf) for r in met) >= RECALL * total:
+            break
+        beam *= 2
+    return beam
+
+
+def _met(indexes: DataFrame, asked: DataFrame, shards: int, blocks: int, k: int, beam: int) -> DataFrame:
+    """What the search of each query in each shard finds."""
+    each_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    each_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    copies = indexes.select("*", each_block).groupBy("size", "shard", "block")
+    block = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")
+    asking = asked.withColumn("block", block).select("*", each_shard).groupBy("size", "shard", "block")
+    return copies.cogroup(asking).applyInPandas(_search(k, beam), FOUND)
+
+
 def usable(vector: Column) -> Column:
     """Whether a vector takes part."""
     finite = F.forall(vector, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))
@@ -243,22 +329,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, beam: int = BEAM)
 
     def cleaned(frame: DataFrame) -> DataFrame:
         good = frame.select("id", as_doubles).where(F.col("id").isNotNull() & usable(F.col("vector")))
-        return good.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("size", F.size("vector"))
+        return good.withColumn("size", F.size("vector"))
 
-    rows, asked = settled(cleaned(vectors)), settled(cleaned(queries))
+    # Equal rows are one with a number, so that an id or row that repeats without end fills no shard.
+    rows = settled(cleaned(vectors).groupBy("id", "vector", "size").agg(F.count("*").alias("copies")))
+    asked = settled(cleaned(queries).withColumn("query", F.monotonically_increasing_id()))
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("id", "vector"), F.lit(shards)).cast("int")
     fields = "shard int, size int, node long, entry long, ids binary, vector binary, point binary, edges binary"
     indexes = settled(
         rows.withColumn("shard", shard).groupBy("size", "shard").applyInPandas(_index(k), fields)
     )
-    each_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    each_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    copies = indexes.select("*", each_block).groupBy("size", "shard", "block")
-    block = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")
-    asking = asked.withColumn("block", block).select("*", each_shard).groupBy("size", "shard", "block")
-    found = copies.cogroup(asking).applyInPandas(_search(k, beam), "query_id long, id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    ranked = found.withColumn("rank", F.row_number().over(order).cast("int"))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    widest = indexes.groupBy("size", "shard").count().agg(F.max("count")).first()[0] or 0
+    beam = _beam(rows, asked, indexes, shards, k, beam, widest)
+    return _ranked(_met(indexes, asked, shards, blocks, k, beam), k).select("query_id", "rank", "id", "score")

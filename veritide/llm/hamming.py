@@ -32,15 +32,26 @@ FIRST_CODES = 10
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
-    """64 bits, one for the sign of each of the first components; null if one is missing or not
-    finite."""
-    code = F.lit(0).cast("long")
-    for i in range(bits):
-        mask = 1 << i
-        mask = mask - (1 << 64) if mask >> 63 else mask
-        code = code.bitwiseOR(F.when(F.get(vector, F.lit(i)) > 0, F.lit(mask)).otherwise(F.lit(0)).cast("long"))
+    """64 bits of a vector of any length, each the sign of a sum of components; null if the vector is empty or
+    a component is missing or not finite.
+
+    Bit i is set if component i plus the components i + 64, i + 128 and so on, each with a sign drawn by a hash of its
+    place, are above 0: of a vector of 64 components it is the sign of component i, and no component is left out.
+    """
+    place = F.sequence(F.lit(0), F.lit(bits - 1))
+    drawn = lambda j: F.when((j < bits) | (F.crc32(j.cast("string").cast("binary")) % 2 == 0), 1.0).otherwise(-1.0)
+
+    def positive(i: Column) -> Column:
+        own = F.sequence(i, F.greatest(i, F.size(vector) - 1), F.lit(bits))
+        total = F.aggregate(own, F.lit(0.0), lambda a, j: a + drawn(j) * F.coalesce(F.get(vector, j).cast("double"), F.lit(0.0)))
+        return total > 0
+
+    one = F.lit(1).cast("long")
+    code = F.aggregate(
+        place, F.lit(0).cast("long"), lambda c, i: c.bitwiseOR(F.when(positive(i), F.call_function("shiftleft", one, i)).otherwise(F.lit(0).cast("long")))
+    )
     whole = F.forall(vector, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))
-    return F.when(whole & (F.size(vector) >= bits), code)
+    return F.when(whole & (F.size(vector) > 0), code)
 
 
 def _cuts(count: int) -> list[tuple[int, int]]:

@@ -7,8 +7,10 @@ that narrow the cut down. Each task adds up its own rows first, so what is shuff
 bounded by shards times ``BINS``, and a value or key that many rows share costs no task more.
 
 Dimensions are numbers from 0 to 1: bytes and ``numbers`` on a log scale, ``names`` by hash. A value
-that many rows share becomes an interval: the hash of id and text (then of the row's place) puts the
-rows of equal values in an order within it, so equal metadata can be cut as well.
+that many rows share becomes an interval: the hash of id and text puts the rows of equal values in an
+order within it, so equal metadata can be cut as well. Rows that are equal in id and text stand at one point;
+where a cut falls on such a point, or on more bytes than ``TOLERANCE`` allows that no bin tells apart, the rows there are
+cut by a hash of their places, found by the same histograms.
 
 Edge cases: a null text has no bytes and crc32 0; null metadata take a place of their own before all
 values; shards of an empty table don't appear. Repeated rows are rows of their own.
@@ -27,6 +29,7 @@ from veritide.llm.common import col, settled, table
 OVERHEAD = 16  # bytes counted for each document besides its text
 BINS = 4096
 ROUNDS = 5
+TIE_ROUNDS = 2
 #: A cut is exact enough if the bytes of its last bin are this part of a shard.
 TOLERANCE = 0.002
 ROWS_PER_BLOCK = 50_000
@@ -41,6 +44,8 @@ class Node:
     high: float = 1.0
     below: float = 0.0  # bytes of the node before ``low``
     cut: float = math.inf
+    top: float = math.inf  # from ``cut`` to here the hash of the place decides
+    tie: float = 0.0
     done: bool = False
 
 
@@ -66,16 +71,15 @@ def _measured(
         F.monotonically_increasing_id().alias("place"),
         *[col(c).alias(f"n{i}") for i, c in enumerate([*numbers, *names])],
     )
-    by_text = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << 32)) / float(1 << 32)
-    by_place = F.pmod(F.xxhash64("place"), F.lit(1 << 20)) / float(1 << 52)
-    jitter = by_text * (1 - 2.0**-31) + by_place
+    jitter = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(1 << 32)) / float(1 << 32)
+    by_place = F.pmod(F.xxhash64("place"), F.lit(1 << 52)) / float(1 << 52)
     dimensions = [_position(F.col("size"), F.col("jitter"))]
     for i in range(len(numbers) + len(names)):
         place = _position if i < len(numbers) else _hashed
         dimensions.append(place(F.col(f"n{i}"), F.col("jitter")))
     narrow = plain.withColumn("jitter", jitter)
     return narrow.select(
-        "doc_id", "size", "text_crc32", "place", *[d.alias(f"d{i}") for i, d in enumerate(dimensions)]
+        "doc_id", "size", "text_crc32", "place", by_place.alias("tie"), *[d.alias(f"d{i}") for i, d in enumerate(dimensions)]
     )
 
 
@@ -106,6 +110,8 @@ def _level(nodes: list[Node]) -> Column:
     return F.struct(
         table([n.dimension for n in nodes], "int").alias("dimension"),
         table([n.cut for n in nodes], "double").alias("cut"),
+        table([n.top for n in nodes], "double").alias("top"),
+        table([n.tie for n in nodes], "double").alias("tie"),
         table(base, "int").alias("base"),
     )
 
@@ -114,7 +120,9 @@ def _walked(levels: list[Column], dimensions: int) -> Column:
     """The number of a row's node below the given levels."""
 
     def down(node: Column, level: Column) -> Column:
-        right = _pick(dimensions, F.get(level["dimension"], node)) >= F.get(level["cut"], node)
+        value = _pick(dimensions, F.get(level["dimension"], node))
+        within = (value >= F.get(level["cut"], node)) & (F.col("tie") >= F.get(level["tie"], node))
+        right = (value >= F.get(level["top"], node)) | within
         return F.get(level["base"], node) + right.cast("int")
 
     return F.aggregate(F.array(*levels), F.lit(0), down) if levels else F.lit(0)
@@ -135,35 +143,54 @@ def _cuts(rows: DataFrame, nodes: list[Node], dimensions: int) -> list[Node]:
         nodes[r["node"]] = replace(
             n, dimension=widest, low=r[f"lo{widest}"], high=math.nextafter(r[f"hi{widest}"], 9.0), done=n.shards == 1
         )
+    value = _pick(dimensions, _by_node(nodes, "dimension", "int"))
+    lumps = [False] * len(nodes)
     for _ in range(ROUNDS):
         if all(n.done for n in nodes):
             break
-        value = _pick(dimensions, _by_node(nodes, "dimension", "int"))
-        low, high = _by_node(nodes, "low", "double"), _by_node(nodes, "high", "double")
-        place = F.least(F.floor((value - low) / (high - low) * BINS), F.lit(BINS - 1)).cast("int")
-        inside = ~_by_node(nodes, "done", "boolean") & (value >= low) & (value < high)
-        bins = (
-            rows.groupBy("node", F.when(inside, place).alias("bin"))
-            .agg(F.sum("size").alias("size"))
-            .where("bin IS NOT NULL")
-        )
-        held = F.sum("size").over(Window.partitionBy("node").orderBy("bin"))
-        wanted = table([total.get(i, 0) * (n.shards // 2) / n.shards - n.below for i, n in enumerate(nodes)], "double")
-        crossing = bins.withColumn("held", held).where(F.col("held") > F.get(wanted, F.col("node")))
-        first = crossing.groupBy("node").agg(F.min(F.struct("bin", "held", "size")).alias("at"))
-        for r in first.select("node", "at.*").collect():
-            n = nodes[r["node"]]
-            width = (n.high - n.low) / BINS
-            before, low = n.below + r["held"] - r["size"], n.low + r["bin"] * width
-            target = total[r["node"]] * (n.shards // 2) / n.shards
-            nearer_low = target - before <= before + r["size"] - target
-            small = r["size"] <= TOLERANCE * total[r["node"]] / n.shards or width <= 2.0**-50
-            nodes[r["node"]] = replace(
-                n, low=low, high=low + width, below=before, cut=low if nearer_low else low + width, done=small
-            )
+        for i, (low, high, before, held) in _crossings(rows, nodes, value, F.lit(True), total).items():
+            n, size = nodes[i], total[i]
+            nearer = low if _target(n, size) - before <= before + held - _target(n, size) else high
+            small, point = held <= TOLERANCE * size / n.shards, high == math.nextafter(low, 9.0)
+            lumps[i] = not small
+            nodes[i] = replace(n, low=low, high=high, below=before, cut=nearer, top=nearer, done=small or point)
+    # What is left at one point, or in one bin, is cut by the places of its rows.
+    if any(lumps):
+        nodes = [replace(n, cut=n.low, top=n.high) if lump else n for n, lump in zip(nodes, lumps, strict=True)]
+        own = (value >= _by_node(nodes, "cut", "double")) & (value < _by_node(nodes, "top", "double"))
+        ties = [Node(n.first, n.shards, below=n.below, done=not lump) for n, lump in zip(nodes, lumps, strict=True)]
+        for _ in range(TIE_ROUNDS):
+            for i, (low, high, before, held) in _crossings(rows, ties, F.col("tie"), own, total).items():
+                nearer = low if _target(ties[i], total[i]) - before <= before + held - _target(ties[i], total[i]) else high
+                ties[i] = replace(ties[i], low=low, high=high, below=before, cut=nearer)
+        nodes = [replace(n, tie=t.cut) if lump else n for n, t, lump in zip(nodes, ties, lumps, strict=True)]
     return nodes
 
 
+def _target(node: Node, size: int) -> float:
+    return size * (node.shards // 2) / node.shards
+
+
+def _crossings(rows: DataFrame, nodes: list[Node], value: Column, own: Column, total: dict) -> dict[int, tuple]:
+    """By node that isn't done, the bin in which its target falls: the edges of its values, the bytes before it, and its own."""
+    low, high = _by_node(nodes, "low", "double"), _by_node(nodes, "high", "double")
+    place = F.least(F.floor((value - low) / (high - low) * BINS), F.lit(BINS - 1)).cast("int")
+    inside = own & ~_by_node(nodes, "done", "boolean") & (value >= low) & (value < high)
+    bins = (
+        rows.groupBy("node", F.when(inside, place).alias("bin"))
+        .agg(F.sum("size").alias("size"), F.min(value).alias("low"), F.max(value).alias("high"))
+        .where("bin IS NOT NULL")
+    )
+    held = F.sum("size").over(Window.partitionBy("node").orderBy("bin"))
+    wanted = table([_target(n, total.get(i, 0)) - n.below for i, n in enumerate(nodes)], "double")
+    crossing = bins.withColumn("held", held).where(F.col("held") > F.get(wanted, F.col("node")))
+    first = crossing.groupBy("node").agg(F.min(F.struct("bin", "held", "size", "low", "high")).alias("at"))
+    return {
+        r["node"]: (r["low"], math.nextafter(r["high"], 9.0), nodes[r["node"]].below + r["held"] - r["size"], r["size"])
+        for r in first.select("node", "at.*").collect()
+    }
+
+
 def sharded(
     documents: DataFrame,
     shards: int,

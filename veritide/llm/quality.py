@@ -282,3 +282,15 @@ def scored_documents(
     return scored.withColumn("held_out", held_out(col(doc_id))).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
+
+
+def accepted(
+    documents: DataFrame,
+    model: Model,
+    *,
+    metadata: tuple[str, ...] = ("n_chars",),
+    threshold: float = 0.5,
+    text: str = "text",
+) -> DataFrame:
+    """The documents that score at least ``threshold``, with the columns they have, whatever those are called."""
+    return documents.where(score(model, col(text), [col(c) for c in metadata]) >= threshold)

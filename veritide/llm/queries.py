@@ -99,7 +99,7 @@ def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "tokens",
         "rate",
-        mixing.copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+        mixing.copies(F.col("rate"), F.col("draw")).alias("copies"),
         *[share(d).alias(f"p_{d}") for d in MIX],
     )
 

@@ -285,3 +285,8 @@ def scored_documents(
         .withColumn("held_out", held_out(col(doc_id)))
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
     )
+
+
+def accepted(documents: DataFrame, model: Model, *, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The documents that score below ``threshold``, with the columns they have, whatever those are called."""
+    return documents.where(judged(model, col(text))["score"] < threshold)
