@@ -33,12 +33,12 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, _labels(spark, sf_dir))
-    return quality.scored_documents(docs, model).where("predicted = 1").select(docs.columns)
+    return quality.accepted(docs, model)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, _labels(spark, sf_dir))
-    return toxicity.scored_documents(docs, model).where("predicted = 0").select(docs.columns)
+    return toxicity.accepted(docs, model)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.round_trip(docs, Spec.read(public_tokenizers.path(VOCABULARY)))
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", same.alias("same_text"))
+    made = bpe.tokens(F.col("text"), Spec.read(public_tokenizers.path(VOCABULARY)), "ids", "n_tokens", "same_text")
+    return docs.select("doc_id", "lang", "source", made.alias("made")).select(
+        "doc_id", "lang", "source", "made.n_tokens", "made.ids", "made.same_text"
+    )
 
 
 STAGES = [
