@@ -17,11 +17,12 @@ import oracles  # noqa: E402
 from veritide.contract import COLUMNS, KEY, ROW_ID  # noqa: E402
 from veritide.functions.normalize import normalize_date, normalize_name, normalize_phone  # noqa: E402
 from veritide.operators import clean, mask, pii, profile, validate  # noqa: E402
+from veritide.operators.judge import judge  # noqa: E402
 from veritide.operators.keys import repeated_rows  # noqa: E402
-from veritide.operators.rules import customer_rules  # noqa: E402
+from veritide.operators.rules import Rule, customer_rules  # noqa: E402
 from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
 from veritide.session import scratch_folder  # noqa: E402
-from veritide.sources import tables  # noqa: E402
+from veritide.sources import records, tables  # noqa: E402
 from veritide.sources.faults import customers_for  # noqa: E402
 from veritide.sources.messy_customers import messy_customers  # noqa: E402
 
@@ -63,12 +64,12 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _failures_by_check(raw: DataFrame) -> DataFrame:
-    by_check = validate.validate(raw, customer_rules(AS_OF)).by_check
+    by_check = judge(raw, customer_rules(AS_OF)).by_check
     return by_check.withColumn("sample_row_ids", F.array_join("sample_row_ids", ","))
 
 
 def _summary(raw: DataFrame) -> DataFrame:
-    return validate.summarize(validate.check_totals(raw, customer_rules(AS_OF)))
+    return judge(raw, customer_rules(AS_OF)).summary
 
 
 def _drop_fill_flag(raw: DataFrame) -> DataFrame:
@@ -115,12 +116,31 @@ def _csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written with a surplus field or without their last one, set apart when read."""
     raw, folder = _raw(spark, sf_dir), scratch_folder(spark)
     surplus, short = F.col(ROW_ID) % 40 == 7, F.col(ROW_ID) % 50 == 9
-    tables.write_csv(raw.where(~surplus & ~short), f"{folder}/whole")
-    tables.write_csv(raw.where(surplus).withColumn("surplus", F.lit("x")), f"{folder}/surplus")
-    tables.write_csv(raw.where(short & ~surplus).drop(COLUMNS[-1]), f"{folder}/short")
-    paths = [f"{folder}/{part}" for part in ("whole", "surplus", "short")]
-    read = tables.read_csv_marked(spark, paths, COLUMNS)
-    return read.select("customer_id", "email", F.col(tables.MALFORMED).isNotNull().alias("malformed"))
+    written = {**records.DIALECT, "emptyValue": "", "nullValue": ""}
+    whole, most = (F.to_csv(F.struct(*some), written) for some in (COLUMNS, COLUMNS[:-1]))
+    line = F.when(surplus, F.concat(whole, F.lit(",x"))).when(short, most).otherwise(whole)
+    # One column, whose name is the header, in a dialect that leaves its text as it is.
+    lines = raw.select(line.alias(",".join(COLUMNS)))
+    lines.write.options(header=True, sep="\u0001", quote="\u0002", ignoreTrailingWhiteSpace=False).csv(folder)
+    read = records.read_csv_marked(spark, folder, COLUMNS)
+    return read.select("customer_id", "email", F.col(records.MALFORMED).isNotNull().alias("malformed"))
+
+
+def _csv_reordered_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of files whose headers have the columns in two orders, one with a column more."""
+    raw, folder = _raw(spark, sf_dir), scratch_folder(spark)
+    odd = F.col(ROW_ID) % 2 == 1
+    tables.write_csv(raw.where(~odd), f"{folder}/even")
+    tables.write_csv(raw.where(odd).select(ROW_ID, F.lit("x").alias("more"), *reversed(COLUMNS)), f"{folder}/odd")
+    return records.read_csv_marked(spark, [f"{folder}/even", f"{folder}/odd"], COLUMNS).drop(records.MALFORMED)
+
+
+def _csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with quotes and line breaks in their cells, from files that many tasks read."""
+    folder = scratch_folder(spark)
+    address = F.concat(F.lit('"The" '), "address", F.lit('\nFloor "2"\n'))
+    tables.write_csv(_raw(spark, sf_dir).withColumn("address", address).coalesce(1), folder)
+    return records.read_csv_marked(spark, folder, COLUMNS).drop(records.MALFORMED)
 
 
 def _csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +155,19 @@ def _hot_key_repeats(lines: DataFrame) -> DataFrame:
     hot = F.when(F.col("l_linenumber") % 3 == 1, F.lit("hot"))
     key = F.coalesce(hot, F.concat_ws("-", "l_partkey", "l_suppkey"))
     number = (F.col("l_orderkey").cast("bigint") * 100 + F.col("l_linenumber")).alias(ROW_ID)
-    return repeated_rows(lines.select(number, key.alias("line_key")), "line_key")
+    found = repeated_rows(lines.select(number, key.alias("line_key")), "line_key")
+    return found.select(ROW_ID, F.col("key_text").alias("line_key"))
+
+
+def _two_keys(lines: DataFrame) -> DataFrame:
+    """Failures of two unique columns and a rule on rows, by check."""
+    keys = {"line": F.concat_ws("-", "l_orderkey", F.col("l_linenumber") % 5), "item": F.concat_ws("-", "l_partkey", "l_suppkey", "l_shipdate")}
+    number = F.monotonically_increasing_id().alias(ROW_ID)
+    table = lines.select(number, *[k.alias(name) for name, k in keys.items()], F.coalesce("l_returnflag", F.lit("")).alias("flag"))
+    rules = [Rule("line", "unique"), Rule("flag", "known", lambda v: v.isin("A", "N")), Rule("item", "unique")]
+    judged = judge(table, rules)
+    summary = judged.summary.select(F.lit("any").alias("column"), F.lit("any").alias("check"), F.col("invalid_row_count").alias("failure_count"))
+    return judged.failed_checks.unionByName(summary)
 
 
 def _structural_failures(raw: DataFrame) -> DataFrame:
@@ -252,6 +284,8 @@ def _customer_queries() -> dict[str, Query]:
         "generated_customers": _generated,
         "csv_malformed_rows": _csv_malformed_rows,
         "csv_multiline": _csv_multiline,
+        "csv_reordered_header": _csv_reordered_header,
+        "csv_quoted_breaks": _csv_quoted_breaks,
         "generated_properties": _generated_properties,
         # Profile
         "completeness": _on_inferred(profile.completeness),
@@ -283,6 +317,7 @@ def _customer_queries() -> dict[str, Query]:
         "validation_summary": _on_raw(_summary),
         "hot_key_repeats": _on("lineitem", _hot_key_repeats),
         "structural_failures": _on_raw(_structural_failures),
+        "two_unique_columns": _on("lineitem", _two_keys),
         "valid_table_verdict": _on_raw(_valid_table_verdict),
         # Cleaning
         "normalize_phone": _on_raw(

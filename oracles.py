@@ -5,14 +5,11 @@ Each oracle that reads customers starts from the same messy rows as its query.
 
 from __future__ import annotations
 
+from veritide.contract import COLUMNS
 from veritide.sources import faults
 from veritide.sources.messy_customers import MESSY_CUSTOMERS
 
 AS_OF = "DATE '2026-01-01'"
-COLUMNS = (
-    "customer_id first_name last_name email phone date_of_birth address income account_status "
-    "created_date"
-).split()
 DATES = ("date_of_birth", "created_date")
 NA = (
     "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
@@ -504,6 +501,9 @@ def _customers() -> dict[str, str]:
         "csv_malformed_rows": """SELECT customer_id, email, row_id % 40 = 7 OR row_id % 50 = 9 AS malformed
             FROM customers_raw""",
         "csv_multiline": "SELECT * EXCLUDE row_id REPLACE (address || chr(10) || 'Floor 2' AS address) FROM customers_raw",
+        "csv_reordered_header": "SELECT * EXCLUDE row_id FROM customers_raw",
+        "csv_quoted_breaks": """SELECT * EXCLUDE row_id REPLACE ('"The" ' || address || chr(10) || 'Floor "2"' || chr(10) AS address)
+            FROM customers_raw""",
         "structural_failures": f"""SELECT CAST(NULL AS BIGINT) AS row_id, 'phone' AS "column",
               'column_in_table' AS "check", 'phone' AS failure_case
             UNION ALL SELECT NULL, 'income', 'dtype', 'double'
@@ -539,6 +539,14 @@ def _supplied_tables() -> dict[str, str]:
         "generated_properties": "SELECT p.property, true AS holds, n.rows FROM (VALUES "
         + ", ".join(f"('{p}')" for p in PROPERTIES)
         + ") p(property), (SELECT count(*) AS rows FROM customer) n",
+        "two_unique_columns": """WITH t AS (SELECT *, l_orderkey || '-' || l_linenumber % 5 AS line,
+              l_partkey || '-' || l_suppkey || '-' || CAST(l_shipdate AS DATE) AS item FROM lineitem),
+            judged AS (SELECT count(*) OVER (PARTITION BY line) > 1 AS line_fails, count(*) OVER (PARTITION BY item) > 1 AS item_fails,
+              coalesce(l_returnflag, '') NOT IN ('', 'A', 'N') AS flag_fails FROM t)
+            SELECT * FROM (SELECT 'line' AS "column", 'unique' AS "check", count_if(line_fails) AS failure_count FROM judged
+            UNION ALL SELECT 'item', 'unique', count_if(item_fails) FROM judged
+            UNION ALL SELECT 'flag', 'known', count_if(flag_fails) FROM judged
+            UNION ALL SELECT 'any', 'any', count_if(line_fails OR item_fails OR flag_fails) FROM judged) WHERE failure_count > 0""",
         "hot_key_repeats": """WITH lines AS (
             SELECT CAST(l_orderkey AS BIGINT) * 100 + l_linenumber AS row_id,
               CASE WHEN l_linenumber % 3 = 1 THEN 'hot' ELSE l_partkey || '-' || l_suppkey END AS line_key

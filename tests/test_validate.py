@@ -2,9 +2,11 @@ import re
 
 import pytest
 from conftest import AS_OF, edited
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from veritide.operators import keys, validate
+from veritide.operators.judge import _entries, judge
 from veritide.operators.keys import repeated_rows
 from veritide.operators.rules import Rule, customer_rules
 
@@ -31,7 +33,7 @@ GOLDEN_CHECKS = (
 
 
 def counts(table, rules=RULES):
-    by_check = validate.validate(table, rules).by_check.collect()
+    by_check = judge(table, rules).by_check.collect()
     return {f"{r.column}.{r.check}": r.failure_count for r in by_check}
 
 
@@ -40,7 +42,7 @@ def test_there_are_22_rules():
 
 
 def test_valid_table_passes(customers, valid_rows):
-    result = validate.validate(customers(*valid_rows), RULES)
+    result = judge(customers(*valid_rows), RULES)
     assert result.summary.first().asDict() == {
         "row_count": 3, "invalid_row_count": 0, "invalid_pct": 0.0, "is_valid": True,
     }
@@ -101,7 +103,7 @@ def test_blank_keys_are_not_repeated(customers, valid_rows):
 
 def test_absent_and_wrongly_typed_columns(customers, valid_rows):
     table = customers(*valid_rows).drop("email").withColumn("income", F.lit(1.5))
-    result = validate.validate(table, RULES)
+    result = judge(table, RULES)
     assert {tuple(r) for r in result.failures.collect()} == {
         (None, "email", "column_in_table", "email"),
         (None, "income", "dtype", "double"),
@@ -128,14 +130,55 @@ def test_own_rules_and_readers(customers, valid_rows):
 
 
 def test_written_failures_give_the_same_reports(raw_at):
-    result = validate.validate(raw_at("0.001"), RULES)
+    result = judge(raw_at("0.001"), RULES)
     assert validate.summarize_failures(result.failures, 150).collect() == result.summary.collect()
     assert sorted(validate.count_failures(result.failures).collect()) == sorted(result.by_check.collect())
 
 
-def test_two_keys_are_refused(customers, valid_rows):
-    with pytest.raises(ValueError):
-        validate.check_totals(customers(*valid_rows), [*RULES, Rule("email", "unique")])
+def test_any_number_of_keys(customers, valid_rows):
+    rows = [list(r) for r in valid_rows] + [list(valid_rows[0]), list(valid_rows[1])]
+    rows[4][3] = ""  # fails a rule on rows as well as that on the key
+    table, rules = customers(*rows, partitions=3), [*RULES, Rule("email", "unique"), Rule("phone", "unique")]
+    assert counts(table, rules) == {
+        "customer_id.unique": 4, "email.unique": 2, "phone.unique": 4, "email.required": 1
+    }
+    assert judge(table, rules).summary.first().invalid_row_count == 4
+    flagged = {r.row_id: r for r in validate.row_checks(table, rules).collect()}
+    assert [flagged[i]["email__unique"] for i in range(5)] == [False, True, True, False, True]
+    assert [flagged[i]["customer_id__unique"] for i in range(5)] == [False, False, True, False, False]
+    assert validate.row_checks(table, rules).columns[-3:] == ["customer_id__unique", "email__unique", "phone__unique"]
+    stored = sorted(tuple(r) for r in judge(table, rules).failures.collect())
+    assert stored == sorted(tuple(r) for r in validate.failure_cases(table, rules).collect())
+
+
+def test_two_keys_travel_in_one_exchange(spark):
+    table = spark.range(100).selectExpr("id AS row_id", "cast(id % 7 AS string) AS a", "cast(id AS string) AS b")
+    marked = repeated_rows(table, "a", "b")
+    plan = marked._sc._jvm.PythonSQLUtils.explainString(marked._jdf.queryExecution(), "simple")
+    one = repeated_rows(table, "a")
+    of_one = one._sc._jvm.PythonSQLUtils.explainString(one._jdf.queryExecution(), "simple")
+    assert plan.count("Exchange hash") == of_one.count("Exchange hash")
+    assert marked.count() == 100 and marked.where("column = 'b'").count() == 0
+
+
+def test_the_rules_are_evaluated_in_one_scan_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").selectExpr(
+        "c_custkey AS row_id", "c_name AS first_name", "c_mktsegment AS phone", "cast(c_custkey AS string) AS customer_id"
+    ).write.parquet(path)
+    table = spark.read.parquet(path)
+    rules = [r for r in RULES if r.column in table.columns]
+    verdicts = validate.row_verdicts(table, rules)
+    _, unique = validate.usable_rules(table, rules)
+    seen = Observation()
+    entries = _entries(table, verdicts, unique, seen)
+    plan = entries._sc._jvm.PythonSQLUtils.explainString(entries._jdf.queryExecution(), "simple")
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+    assert not re.search("Exchange|HashAggregate|Join|Python", plan)
+    assert plan.count("~") + plan.count("NOT ") < 60  # a verdict is made once and then read
+    judged = judge(table, rules, str(tmp_path / "out"))
+    read = {f.rsplit("/", 3)[-3] if "kind=" in f else f.rsplit("/", 2)[-2] for f in judged.failures.inputFiles()}
+    assert read <= {"entries", "repeated"}
 
 
 def test_without_a_key_there_is_no_join(customers, valid_rows):
@@ -147,23 +190,23 @@ def test_without_a_key_there_is_no_join(customers, valid_rows):
 
 
 def test_empty_table(customers, valid_rows):
-    summary = validate.validate(customers(*valid_rows).filter("false"), RULES).summary.first()
+    summary = judge(customers(*valid_rows).filter("false"), RULES).summary.first()
     assert tuple(summary) == (0, 0, 0.0, True)
 
 
 @pytest.mark.parametrize("sf", GOLDEN)
 def test_golden_counts(raw_at, sf):
     rows, invalid, expected = GOLDEN[sf]
-    totals = validate.check_totals(raw_at(sf), RULES)
-    summary = validate.summarize(totals).first()
+    judged = judge(raw_at(sf), RULES)
+    summary = judged.summary.first()
     assert (summary.row_count, summary.invalid_row_count) == (rows, invalid)
-    found = {f"{r.column}.{r.check}": r.failure_count for r in validate.failed_checks(totals).collect()}
+    found = {f"{r.column}.{r.check}": r.failure_count for r in judged.failed_checks.collect()}
     assert found == dict(zip(GOLDEN_CHECKS, map(int, expected.split())))
 
 
 def test_reports_agree_with_each_other(raw_at):
     raw = raw_at("0.001")
-    result = validate.validate(raw, RULES)
+    result = judge(raw, RULES)
     failures = [tuple(r) for r in result.failures.collect()]
     assert len(failures) == sum(r.failure_count for r in result.by_check.collect())
     assert len({f[0] for f in failures}) == result.summary.first().invalid_row_count
@@ -191,13 +234,13 @@ def test_names_of_any_kind(customers, valid_rows):
         Rule("home.phone", "short", lambda v: F.length(v) < 3),
         Rule("customer_id", "unique"),
     ]
-    result = validate.validate(table, rules)
+    result = judge(table, rules)
     found = {(r.column, r.check): r.sample_row_ids for r in result.by_check.collect()}
     assert set(found) == {("email", "company__mail"), ("home.phone", "short")} and all(found.values())
     assert validate.row_checks(table, rules).columns[1:] == [r.name for r in rules]
     plans = [
         re.sub(r"#\d+L?|(?<=_common_expr_)\d+", "", f._jdf.queryExecution().optimizedPlan().toString())
-        for f in (validate.check_totals(table, [*RULES[1:3], *rules]) for _ in range(2))
+        for f in (validate.failure_cases(table, [*RULES[1:3], *rules]) for _ in range(2))
     ]
     assert plans[0] == plans[1]
 
@@ -226,12 +269,12 @@ def test_hot_keys_give_the_same_rows(spark, monkeypatch, parts):
     texts = ["hot" if i % 3 == 0 else f"k{i // 4}" if i % 7 else f"u{i}" for i in range(600)]
     texts += ["", " ", ""]
     table = spark.createDataFrame(list(enumerate(texts)), "row_id bigint, k string").repartition(5)
-    found = {tuple(r) for r in repeated_rows(table, "k").collect()}
+    found = {(r.row_id, r.key_text) for r in repeated_rows(table, "k").collect()}
     assert found == {(i, t) for i, t in enumerate(texts) if t.strip() and texts.count(t) > 1}
 
 
 def test_plan_stays_in_the_jvm_and_limits_samples_early(raw_at):
-    result = validate.validate(raw_at("0.001"), RULES)
+    result = judge(raw_at("0.001"), RULES)
     for frame in (result.summary, result.by_check, result.failures):
         plan = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
         assert not re.search("Python|Cartesian|NestedLoop", plan)

@@ -12,8 +12,8 @@ from veritide import contract
 from veritide.functions.normalize import NORMALIZERS
 from veritide.functions.text import is_present
 from veritide.operators.reshape import hold_row, long_form
+from veritide.operators.judge import judge
 from veritide.operators.rules import Rule
-from veritide.operators.validate import check_totals, failed_checks, summarize
 
 REVIEW = "review_columns"
 
@@ -120,11 +120,9 @@ def cleaning_log(table: DataFrame) -> dict[str, DataFrame]:
 def before_after(
     raw: DataFrame, cleaned: DataFrame, rules: list[Rule]
 ) -> tuple[DataFrame, DataFrame]:
-    """The validation summary of both tables by phase, and the failures per check side by side."""
-    before, after = check_totals(raw, rules), check_totals(cleaned, rules)
-    summaries = summarize(before), summarize(after)
-    checks = failed_checks(before), failed_checks(after)
-    return compare_summaries(*summaries), compare_checks(*checks)
+    """The validation summary of both tables by phase, and the failures per check side by side; each is judged once."""
+    before, after = judge(raw, rules), judge(cleaned, rules)
+    return compare_summaries(before.summary, after.summary), compare_checks(before.failed_checks, after.failed_checks)
 
 
 def compare_summaries(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +11,6 @@ from veritide.functions.names import exact
 from veritide.functions.numbers import percent
 from veritide.functions.text import is_present
 from veritide.operators.keys import repeated_rows
-from veritide.operators.reshape import long_form
 from veritide.operators.rules import UNIQUE, Rule, customer_rules
 
 NOT_NULL = "not_null"
@@ -24,27 +19,6 @@ SAMPLE_ROWS = 5
 FAILURE_SCHEMA = f"{ROW_ID} bigint, column string, check string, failure_case string"
 
 
-@dataclass(frozen=True)
-class Validation:
-    """What a table looks like under a rule list; every frame is lazy.
-
-    ``summary`` has one row: row count, invalid rows and percent, verdict. ``by_check`` has a row
-    per check that fails. ``failures`` has a row per row and failed check.
-    """
-
-    summary: DataFrame
-    by_check: DataFrame
-    failures: DataFrame
-
-
-def validate(table: DataFrame, rules: list[Rule] | None = None) -> Validation:
-    rules = customer_rules() if rules is None else rules
-    totals = check_totals(table, rules)
-    failures = failure_cases(table, rules)
-    by_check = failed_checks(totals).join(failure_samples(failures), ["column", "check"], "left")
-    return Validation(summarize(totals), by_check, failures)
-
-
 def structural_failures(table: DataFrame, rules: list[Rule]) -> list[tuple[Rule, str]]:
     """Columns that are absent or not text, with the case. They concern no single row."""
     types = {f.name: f.dataType for f in table.schema}
@@ -57,14 +31,11 @@ def structural_failures(table: DataFrame, rules: list[Rule]) -> list[tuple[Rule,
     return found
 
 
-def usable_rules(table: DataFrame, rules: list[Rule]) -> tuple[list[Rule], Rule | None]:
-    """The rules on columns that are there, and apart from them the rule on the key."""
+def usable_rules(table: DataFrame, rules: list[Rule]) -> tuple[list[Rule], list[Rule]]:
+    """The rules on columns that are there, and apart from them those on keys."""
     unusable = {rule.column for rule, _ in structural_failures(table, rules)}
     usable = [rule for rule in rules if rule.column not in unusable]
-    keys = [rule for rule in usable if rule.check == UNIQUE]
-    if len(keys) > 1:
-        raise ValueError("a table has one key; more than one column is declared unique")
-    return [rule for rule in usable if rule.check != UNIQUE], next(iter(keys), None)
+    return [rule for rule in usable if rule.check != UNIQUE], [rule for rule in usable if rule.check == UNIQUE]
 
 
 def row_verdicts(table: DataFrame, rules: list[Rule]) -> dict[Rule, Column]:
@@ -107,10 +78,6 @@ def with_inputs(table: DataFrame, verdicts: dict[Rule, Column]) -> DataFrame:
     )
 
 
-def _all_hold(rules) -> Column:
-    return reduce(and_, [exact(rule.name) for rule in rules], F.lit(True))
-
-
 def row_checks(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """One row per input row, with a boolean per rule named ``column__check``."""
     rules = customer_rules() if rules is None else rules
@@ -118,13 +85,15 @@ def row_checks(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     checked = with_inputs(table, verdicts).select(
         ROW_ID, *[ok.alias(rule.name) for rule, ok in verdicts.items()]
     )
-    _, key = usable_rules(table, rules)
-    if key is None:
+    _, keys = usable_rules(table, rules)
+    if not keys:
         return checked
     # The join is on the row number, so a hot key does not gather its rows anywhere.
-    repeated = repeated_rows(table, key.column).select(ROW_ID, F.lit(False).alias(key.name))
+    flags = [F.bool_or(F.col("column") == k.column).alias(f"{OWN}_key_{i}") for i, k in enumerate(keys)]
+    repeated = repeated_rows(table, *[k.column for k in keys]).groupBy(ROW_ID).agg(*flags)
     marked = checked.join(repeated, ROW_ID, "left")
-    return marked.withColumn(key.name, F.coalesce(exact(key.name), F.lit(True)))
+    fine = [~F.coalesce(F.col(f"{OWN}_key_{i}"), F.lit(False)) for i in range(len(keys))]
+    return marked.select(*[exact(c) for c in checked.columns], *[ok.alias(k.name) for k, ok in zip(keys, fine)])
 
 
 def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
@@ -138,27 +107,18 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
     verdicts = row_verdicts(table, rules)
     places = [F.when(~ok, F.lit(i)) for i, ok in enumerate(verdicts.values(), start=1)]
     place = F.col(f"{OWN}_place")
+    column, check, value = looked_up(place, list(verdicts))
     found = (
         with_inputs(table, verdicts)
         .select("*", F.explode(F.array(*places)).alias(f"{OWN}_place"))
         .filter(place.isNotNull())
-        .select(
-            ROW_ID,
-            _name_at(place, [rule.column for rule in verdicts]).alias("column"),
-            _name_at(place, [rule.check for rule in verdicts]).alias("check"),
-            _value_at(place, verdicts).alias("failure_case"),
-        )
+        .select(ROW_ID, column.alias("column"), check.alias("check"), value.alias("failure_case"))
     )
-    _, key = usable_rules(table, rules)
-    if key is not None:
-        repeated = repeated_rows(table, key.column)
+    _, keys = usable_rules(table, rules)
+    if keys:
+        repeated = repeated_rows(table, *[k.column for k in keys])
         found = found.unionByName(
-            repeated.select(
-                ROW_ID,
-                F.lit(key.column).alias("column"),
-                F.lit(key.check).alias("check"),
-                exact(key.column).alias("failure_case"),
-            )
+            repeated.select(ROW_ID, "column", F.lit(UNIQUE).alias("check"), F.col("key_text").alias("failure_case"))
         )
     structural = structural_failures(table, rules)
     if structural:
@@ -167,6 +127,12 @@ def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFram
     return found
 
 
+def looked_up(place: Column, rules: list[Rule]) -> tuple[Column, Column, Column]:
+    """Column, check and value of the rule at ``place``, from 1."""
+    columns, checks = ([getattr(rule, part) for rule in rules] for part in ("column", "check"))
+    return _name_at(place, columns), _name_at(place, checks), _value_at(place, rules)
+
+
 def _name_at(place: Column, names: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in names]), place)
 
@@ -182,73 +148,6 @@ def _value_at(place: Column, rules) -> Column:
     return value
 
 
-def _named(count: Column, rule: Rule) -> Column:
-    """A count that carries the column and the check it is of, whatever their names hold."""
-    return count.alias(rule.name, metadata={"column": rule.column, "check": rule.check})
-
-
-def check_totals(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """One row: ``row_count``, ``invalid_row_count`` and a failure count per rule.
-
-    One pass over the table. Without a key it is a plain aggregate. With one, counts are kept per
-    key text first, since only the count of a key tells whether its rows fail: the shuffle carries a
-    record per key and task, however many rows a key has.
-    """
-    rules = customer_rules() if rules is None else rules
-    verdicts = row_verdicts(table, rules)
-    _, key = usable_rules(table, rules)
-    flags = with_inputs(table, verdicts).select(
-        (exact(key.column) if key else F.lit("")).alias(f"{OWN}_key"),
-        *[ok.alias(rule.name) for rule, ok in verdicts.items()],
-    )
-    per_key = flags.groupBy(*([f"{OWN}_key"] if key else [])).agg(
-        F.count("*").alias("row_count"),
-        F.count_if(~_all_hold(verdicts)).alias("invalid_row_count"),
-        *[_named(F.count_if(~exact(rule.name)), rule) for rule in verdicts],
-    )
-    if key:
-        present = F.coalesce(is_present(F.col(f"{OWN}_key")), F.lit(False))
-        repeated = F.when(present & (F.col("row_count") > 1), F.col("row_count"))
-
-        def total(part: Column) -> Column:
-            return F.coalesce(F.sum(part), F.lit(0))
-
-        per_key = per_key.agg(
-            total(F.col("row_count")).alias("row_count"),
-            total(F.coalesce(repeated, F.col("invalid_row_count"))).alias("invalid_row_count"),
-            *[_named(total(exact(rule.name)), rule) for rule in verdicts],
-            _named(total(repeated), key),
-        )
-    return per_key.select(
-        "*", *[_named(F.lit(1), rule) for rule, _ in structural_failures(table, rules)]
-    )
-
-
-def _counts(totals: DataFrame) -> list[list[Column]]:
-    """Column, check and failure count of each rule."""
-    named = [(f.name, f.metadata) for f in totals.schema if "check" in f.metadata]
-    return [
-        [F.lit(of["column"]), F.lit(of["check"]), exact(name).cast("bigint")] for name, of in named
-    ]
-
-
-def summarize(totals: DataFrame) -> DataFrame:
-    """Row count, invalid rows, their percent, and whether nothing at all fails."""
-    failures = reduce(lambda a, b: a + b, [count for *_, count in _counts(totals)], F.lit(0))
-    return totals.select(
-        "row_count",
-        "invalid_row_count",
-        percent(F.col("invalid_row_count"), F.col("row_count")).alias("invalid_pct"),
-        (failures == 0).alias("is_valid"),
-    )
-
-
-def failed_checks(totals: DataFrame) -> DataFrame:
-    """``column, check, failure_count`` of the checks that fail."""
-    named = long_form(totals, ["column", "check", "failure_count"], _counts(totals))
-    return named.filter("failure_count > 0")
-
-
 def summarize_failures(failures: DataFrame, row_count: int) -> DataFrame:
     """The summary of a table of ``row_count`` rows from its failures.
 

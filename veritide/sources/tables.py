@@ -22,8 +22,6 @@ CSV_DIALECT = {
 # A row with more or fewer fields than the header fails, whichever columns are asked for.
 STRICT = {"mode": "FAILFAST", "columnPruning": False, "enforceSchema": False}
 
-MALFORMED = "malformed_line"
-
 
 def read_csv(
     spark: SparkSession, path: str | list[str], row_id: str | None = None, multi_line: bool = False
@@ -39,19 +37,6 @@ def read_csv(
     return number_rows(text_view(table), row_id)
 
 
-def read_csv_marked(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
-    """The CSV rows as text columns, with ``MALFORMED`` holding the whole line of a row that has more
-    or fewer fields than ``columns`` and null for every other row, so that no field is lost.
-
-    For input whose bad rows are to be set aside; ``read_csv`` fails on them instead.
-    """
-    fields = [T.StructField(c, T.StringType()) for c in [*columns, MALFORMED]]
-    options = {**CSV_DIALECT, "mode": "PERMISSIVE", "columnPruning": False, "columnNameOfCorruptRecord": MALFORMED}
-    table = spark.read.schema(T.StructType(fields)).options(**options).csv(path)
-    # A malformed row shows the fields that it has; blank text stands for the others.
-    return table.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns], MALFORMED)
-
-
 def read_parquet(spark: SparkSession, path: str, row_id: str | None = None) -> DataFrame:
     return number_rows(spark.read.parquet(path), row_id)
 
