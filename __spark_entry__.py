@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from veritide.contract import COLUMNS, KEY, ROW_ID  # noqa: E402
 from veritide.functions.normalize import normalize_date, normalize_name, normalize_phone  # noqa: E402
-from veritide.operators import clean, mask, pii, profile, validate  # noqa: E402
+from veritide.operators import clean, mask, pii, profile, text_pii, validate  # noqa: E402
 from veritide.operators.judge import judge  # noqa: E402
 from veritide.operators.keys import repeated_rows  # noqa: E402
 from veritide.operators.rules import Rule, customer_rules  # noqa: E402
@@ -310,6 +310,11 @@ def _customer_queries() -> dict[str, Query]:
         "pii_occurrences": _on_raw(pii.pii_occurrences),
         "pii_patterns": _on_raw(pii.pii_patterns),
         "breach_exposure": _on_raw(pii.breach_exposure),
+        "text_pii_spans": _on("documents", lambda t: text_pii.text_spans(t, "doc_id", "text")),
+        "text_pii_exposure": _on("documents", lambda t: text_pii.exposure(t, "text")),
+        "text_masked": _on("documents", lambda t: text_pii.text_masked(t, "text").select("doc_id", "text")),
+        "page_pii_spans": _on("pages", lambda t: text_pii.text_spans(t, "page_id", "html")),
+        "page_masked": _on("pages", lambda t: text_pii.text_masked(t, "html").select("page_id", "html")),
         # Validation
         "row_checks": _on_raw(lambda raw: validate.row_checks(raw, customer_rules(AS_OF))),
         "failure_cases": _on_raw(lambda raw: validate.failure_cases(raw, customer_rules(AS_OF))),

@@ -555,6 +555,55 @@ def _supplied_tables() -> dict[str, str]:
     }
 
 
+# --- Emails and phone numbers in text ------------------------------------------------------------
+
+#: DuckDB's patterns can't look around, so every run of digits gets a mark before and one after it.
+BEFORE, AFTER = "\x01", "\x02"
+IN_TEXT = (
+    rf"[A-Za-z0-9._%+{BEFORE}{AFTER}-]+@[A-Za-z0-9.{BEFORE}{AFTER}-]+\.[A-Za-z]{{2,}}"
+    rf"|(?:\+?{BEFORE}1{AFTER}?[\s.-]?\(?{BEFORE}?|\(?{BEFORE})[0-9]{{3}}{AFTER}?\)?[\s.-]?{BEFORE}?[0-9]{{3}}{AFTER}?[\s.-]?{BEFORE}?[0-9]{{4}}{AFTER}"
+)
+
+
+def _in_text(table: str, key: str, column: str) -> dict[str, str]:
+    """SQL of the spans, the exposure and the masked text of a column."""
+
+    def plain(x: str) -> str:
+        return f"translate({x}, '{BEFORE}{AFTER}', '')"
+
+    digits = "regexp_replace(f, '[^0-9]', '', 'g')"
+    hidden = f"""CASE WHEN contains(f, '@') THEN left(f, 1) || '***' || substr(f, instr(f, '@'))
+        WHEN regexp_matches(f, {CANONICAL}) THEN '***-***-' || right(f, 4) ELSE '***' || right({digits}, 4) END"""
+    cut = f"""WITH marked AS (SELECT {key} AS key, {column} AS own,
+          regexp_replace(coalesce({column}, ''), '([0-9]+)', '{BEFORE}\\1{AFTER}', 'g') AS body FROM {table}),
+        cut AS (SELECT key, own, list_transform(regexp_extract_all(body, '{IN_TEXT}'), lambda x: {plain('x')}) AS found,
+          list_transform(string_split_regex(body, '{IN_TEXT}'), lambda x: {plain('x')}) AS gaps FROM marked),
+        hits AS (SELECT key, unnest(range(1, len(found) + 1)) AS i, found, gaps FROM cut),
+        placed AS (SELECT key, found[i] AS found, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS INTEGER) AS start FROM hits),
+        spans AS (SELECT key, CASE WHEN contains(found, '@') THEN 'email' ELSE 'phone' END AS kind, start,
+          CAST(start + length(found) AS INTEGER) AS stop, found FROM placed)"""
+    return {
+        "spans": f"{cut} SELECT key AS {key}, kind, start, stop, found FROM spans",
+        "exposure": f"""{cut} SELECT (SELECT count(*) FROM {table}) AS texts,
+            count(DISTINCT key) FILTER (WHERE kind = 'email') AS with_email, count(DISTINCT key) FILTER (WHERE kind = 'phone') AS with_phone,
+            count(DISTINCT key) AS with_any, count_if(kind = 'email') AS emails, count_if(kind = 'phone') AS phones FROM spans""",
+        "masked": f"""{cut} SELECT key AS {key}, CASE WHEN own IS NOT NULL THEN array_to_string(list_transform(range(1, len(gaps) + 1),
+            lambda i: gaps[i] || coalesce(list_transform(found[i:i], lambda f: {hidden})[1], '')), '') END AS {column} FROM cut""",
+    }
+
+
+def _text_pii() -> dict[str, str]:
+    documents, pages = _in_text("documents", "doc_id", "text"), _in_text("pages", "page_id", "html")
+    return {
+        "text_pii_spans": documents["spans"],
+        "text_pii_exposure": documents["exposure"],
+        "text_masked": documents["masked"],
+        "page_pii_spans": pages["spans"],
+        "page_masked": pages["masked"],
+    }
+
+
 def all_oracles() -> dict[str, str]:
     source = f"WITH {MESSY_CUSTOMERS}"
     seen = ", ".join(
@@ -565,4 +614,5 @@ def all_oracles() -> dict[str, str]:
            f"{source}, {NORMALIZED}, {CLEANED}, {q.removeprefix('WITH')}" for k, q in _customers().items()},
         **{k: f"{source}, seen AS (SELECT row_id, {seen} FROM customers_raw) {q}" for k, q in _profile().items()},
         **_supplied_tables(),
+        **_text_pii(),
     }
