@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracles  # noqa: E402
@@ -18,6 +18,7 @@ from veritide.contract import COLUMNS, KEY, ROW_ID  # noqa: E402
 from veritide.functions.normalize import normalize_date, normalize_name, normalize_phone  # noqa: E402
 from veritide.operators import clean, mask, pii, profile, text_pii, validate  # noqa: E402
 from veritide.operators.judge import judge  # noqa: E402
+from veritide.operators.key_history import KeyHistory  # noqa: E402
 from veritide.operators.keys import repeated_rows  # noqa: E402
 from veritide.operators.rules import Rule, customer_rules  # noqa: E402
 from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
@@ -25,6 +26,7 @@ from veritide.session import scratch_folder  # noqa: E402
 from veritide.sources import records, tables  # noqa: E402
 from veritide.sources.faults import customers_for  # noqa: E402
 from veritide.sources.messy_customers import messy_customers  # noqa: E402
+from veritide.streaming import daily  # noqa: E402
 
 AS_OF = dt.date(2026, 1, 1)
 EVENT_TYPES = ["click", "view", "purchase"]
@@ -170,6 +172,34 @@ def _two_keys(lines: DataFrame) -> DataFrame:
     return judged.failed_checks.unionByName(summary)
 
 
+def _lines(raw: DataFrame, surplus: Column) -> DataFrame:
+    """The rows as lines of a CSV with a header, with a field too many where ``surplus`` holds."""
+    whole = F.to_csv(F.struct(COLUMNS), {**records.DIALECT, "emptyValue": "", "nullValue": ""})
+    return raw.select(F.when(surplus, F.concat(whole, F.lit(",x"))).otherwise(whole).alias(",".join(COLUMNS)))
+
+
+def _quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of rows that come in three drops, a run after each; the second holds malformed rows and a file of another kind."""
+    raw, folder = _raw(spark, sf_dir), scratch_folder(spark)
+    as_it_is = {"sep": "\u0001", "quote": "\u0002", "ignoreTrailingWhiteSpace": False, "header": True}
+    for drop in range(3):
+        rows = raw.where(F.col(ROW_ID) % 3 == drop)
+        surplus = F.lit(drop == 1) & (F.col(ROW_ID) % 40 == 7)
+        _lines(rows, surplus).write.mode("append").options(**as_it_is).csv(f"{folder}/in")
+        if drop == 1:
+            rows.limit(2).select(F.lit("1,2").alias("other,header")).coalesce(1).write.mode("append").options(**as_it_is).csv(f"{folder}/in")
+        daily.validate_new_files(spark, f"{folder}/in", folder, customer_rules(AS_OF)).awaitTermination()
+    return daily.judged_rows(spark, folder).select("customer_id", "email", "verdict", F.size("failed_checks").alias("failed"))
+
+
+def _keys_over_days(raw: DataFrame) -> DataFrame:
+    """Keys that came more than once over three days, each merged into what was counted before; one is sent twice."""
+    history = KeyHistory(raw.sparkSession, scratch_folder(raw.sparkSession), buckets=8)
+    for day in (0, 1, 2, 1):
+        history.add(f"day {day}", raw.where(F.col(ROW_ID) % 3 == day), KEY)
+    return history.repeated().select(F.col("key_text").alias(KEY), "row_count")
+
+
 def _structural_failures(raw: DataFrame) -> DataFrame:
     """An absent column, one that is no text, and one with nulls."""
     rules = [r for r in customer_rules(AS_OF) if r.column in ("email", "phone", "income")]
@@ -322,6 +352,8 @@ def _customer_queries() -> dict[str, Query]:
         "validation_summary": _on_raw(_summary),
         "hot_key_repeats": _on("lineitem", _hot_key_repeats),
         "structural_failures": _on_raw(_structural_failures),
+        "quarantine_stream": _quarantine_stream,
+        "keys_over_days": _on_raw(_keys_over_days),
         "two_unique_columns": _on("lineitem", _two_keys),
         "valid_table_verdict": _on_raw(_valid_table_verdict),
         # Cleaning

@@ -408,6 +408,10 @@ def _customers() -> dict[str, str]:
         f'{holds} AS "{c}__{check}"' for (c, check), holds in checks("customers_raw").items()
     )
 
+    failed_rules = " + ".join(
+        f"CAST(NOT ({holds}) AS INTEGER)" for (_, check), holds in checks("customers_raw").items() if check != "unique"
+    )
+
     def stage(name: str, metric: str, value: str) -> str:
         return f"SELECT '{name}' AS stage, '{metric}' AS metric, CAST(({value}) AS VARCHAR) AS value"
 
@@ -501,6 +505,12 @@ def _customers() -> dict[str, str]:
         "csv_malformed_rows": """SELECT customer_id, email, row_id % 40 = 7 OR row_id % 50 = 9 AS malformed
             FROM customers_raw""",
         "csv_multiline": "SELECT * EXCLUDE row_id REPLACE (address || chr(10) || 'Floor 2' AS address) FROM customers_raw",
+        "quarantine_stream": f"""SELECT customer_id, email, CASE WHEN failed = 0 AND NOT malformed THEN 'accepted' ELSE 'quarantined' END AS verdict,
+              CAST(failed AS INTEGER) AS failed
+            FROM (SELECT *, row_id % 3 = 1 AND row_id % 40 = 7 AS malformed, {failed_rules} AS failed FROM customers_raw)
+            UNION ALL SELECT '', '', 'quarantined', 10 FROM (SELECT 1 FROM customers_raw WHERE row_id % 3 = 1 LIMIT 2)""",
+        "keys_over_days": """SELECT customer_id, count(*) AS row_count FROM customers_raw WHERE trim(customer_id) <> ''
+            GROUP BY customer_id HAVING count(*) > 1""",
         "csv_reordered_header": "SELECT * EXCLUDE row_id FROM customers_raw",
         "csv_quoted_breaks": """SELECT * EXCLUDE row_id REPLACE ('"The" ' || address || chr(10) || 'Floor "2"' || chr(10) AS address)
             FROM customers_raw""",

@@ -96,6 +96,14 @@ def row_checks(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     return marked.select(*[exact(c) for c in checked.columns], *[ok.alias(k.name) for k, ok in zip(keys, fine)])
 
 
+def with_failed_checks(table: DataFrame, rules: list[Rule], name: str) -> DataFrame:
+    """The table with the array ``name`` of the checks (``column__check``) that each row fails; uniqueness is not among
+    them."""
+    verdicts = row_verdicts(table, rules)
+    failed = F.array_compact(F.array(*[F.when(~ok, F.lit(rule.name)) for rule, ok in verdicts.items()]).cast("array<string>"))
+    return with_inputs(table, verdicts).select(*[exact(c) for c in table.columns], failed.alias(name))
+
+
 def failure_cases(table: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     """One row per input row and failed check, with the value that failed.
 

@@ -38,8 +38,12 @@ def line_columns() -> list[Column]:
     ]
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """``file``, ``split``, ``line`` (those of its first line) and ``text`` of each record; line breaks inside quotes stay."""
+def records(lines: DataFrame, refuse: bool = True) -> DataFrame:
+    """``file``, ``split``, ``line`` (those of its first line) and ``text`` of each record; line breaks inside quotes stay.
+
+    A quote that is not closed within ``LINES_PER_RECORD`` fails, or, if nothing is to be refused, leaves lines that are
+    ``broken``.
+    """
     place = Window.partitionBy("file", "split").orderBy("line")
     before = place.rowsBetween(Window.unboundedPreceding, -1)
     so_far = place.rowsBetween(Window.unboundedPreceding, 0)
@@ -59,16 +63,20 @@ def records(lines: DataFrame) -> DataFrame:
     carried = last.select("file", "split", F.last("last", ignorenulls=True).over(splits).alias("carried"))
     placed = known.drop("opened").join(carried, ["file", "split"]).withColumn("first", F.coalesce("first", "carried"))
     alone = F.col("starts") & (F.col("quotes") % 2 == 0)
-    whole = placed.where(alone).select("file", "split", "line", _ended("text").alias("text"))
+    row = ["file", "split", "line", _ended("text").alias("text")]
+    whole = placed.where(alone).select(*row, F.lit(False).alias("broken"))
     parts = placed.where(~alone).select("file", "first", "split", "line", "text")
     sizes = parts.groupBy("file", "first").agg(F.count("*").alias("lines"))
-    few = F.when(F.col("lines") <= LINES_PER_RECORD, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("a quote is not closed in "), F.col("file"))).cast("boolean")
-    )
-    allowed = sizes.where(few).select("file", "first")
+    few = F.col("lines") <= LINES_PER_RECORD
+    if refuse:
+        few = F.when(few, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("a quote is not closed in "), F.col("file"))).cast("boolean"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("split", "line", "text"))), lambda x: x["text"]), "\n")
-    long = parts.join(allowed, ["file", "first"]).groupBy("file", "first").agg(joined.alias("text"))
-    return whole.unionByName(long.select("file", "first.split", "first.line", _ended("text").alias("text")))
+    long = parts.join(sizes.where(few).select("file", "first"), ["file", "first"]).groupBy("file", "first").agg(joined.alias("text"))
+    found = whole.unionByName(long.select("file", "first.split", "first.line", _ended("text").alias("text"), F.lit(False).alias("broken")))
+    if refuse:
+        return found
+    endless = parts.join(sizes.where(~few).select("file", "first"), ["file", "first"], "left_semi")
+    return found.unionByName(endless.select(*row, F.lit(True).alias("broken")))
 
 
 def _ended(text: str) -> Column:
@@ -85,28 +93,33 @@ def fields(text: Column, columns: list[str]) -> Column:
     return F.struct(*cells, parsed[MALFORMED].alias(MALFORMED))
 
 
-def tabled(found: DataFrame, columns: list[str]) -> DataFrame:
-    """Records as the named columns and ``MALFORMED``, each file's by its own header.
+def tabled(found: DataFrame, columns: list[str], refuse: bool = True) -> DataFrame:
+    """Records as the named columns and ``MALFORMED``, each file's by its own header, with ``file``, ``split`` and ``line``.
 
-    Columns that a header has besides are left out; one without all of them fails, and so does a file whose header repeats
-    a name. Records without text are no rows.
+    Columns that a header has besides are left out; one without all of them fails, and so does a header that repeats a
+    name. If nothing is to be refused, the records of such a file are malformed ones. Records without text are no rows.
     """
     heads = found.groupBy("file").agg(F.min(F.struct("split", "line", "text")).alias("head"))
     distinct = [r["text"] for r in heads.select(F.col("head.text").alias("text")).distinct().limit(HEADERS + 1).collect()]
     if len(distinct) > HEADERS:
         raise ValueError(f"the files have more than {HEADERS} different headers")
     rows = found.join(heads, "file").where((F.col("split") != F.col("head.split")) | (F.col("line") != F.col("head.line")))
-    rows = rows.where("trim(text) <> ''").select("file", "split", "line", "text", F.col("head.text").alias("header"))
+    rows = rows.where("trim(text) <> ''").select("file", "split", "line", "text", "broken", F.col("head.text").alias("header"))
     tables = []
     for header in distinct:
         names = _names(found.sparkSession, header)
-        if lost := [c for c in columns if c not in names]:
-            raise ValueError(f"a header lacks {', '.join(lost)}: {header[:200]}")
-        if len(set(names)) < len(names):
-            raise ValueError(f"a header repeats a name: {header[:200]}")
-        own = rows.where(F.col("header") == header).select("file", "split", "line", fields(F.col("text"), names).alias("row"))
-        cells = [F.col("row").getField(c).alias(c) for c in columns]
-        tables.append(own.select("file", "split", "line", *cells, F.col(f"row.{MALFORMED}").alias(MALFORMED)))
+        lost = [c for c in columns if c not in names]
+        unfit = f"lacks {', '.join(lost)}" if lost else "repeats a name" if len(set(names)) < len(names) else None
+        if unfit and refuse:
+            raise ValueError(f"a header {unfit}: {header[:200]}")
+        own = rows.where(F.col("header") == header)
+        if unfit:
+            cells, bad = [F.lit("").alias(c) for c in columns], F.col("text")
+        else:
+            own = own.withColumn("row", fields(F.col("text"), names))
+            cells = [F.col("row").getField(c).alias(c) for c in columns]
+            bad = F.when(F.col("broken"), F.col("text")).otherwise(F.col("row").getField(MALFORMED))
+        tables.append(own.select("file", "split", "line", *cells, bad.alias(MALFORMED)))
     if not tables:
         empty = ", ".join(f"`{c}` string" for c in [*columns, MALFORMED])
         return found.sparkSession.createDataFrame([], f"file string, split bigint, line bigint, {empty}")
