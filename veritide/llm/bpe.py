@@ -6,8 +6,8 @@ entries whose symbols have changed since are stale and skipped. Decoding concate
 strings of the ids.
 
 Texts are cut where any context cuts them, at a space before other text; what a task has seen lately it
-remembers in two generations bounded by bytes, which end with the task. Ids travel as little-endian unsigned
-32-bit numbers in a binary column, a quarter of what an array of longs takes. Results are handed on every
+remembers in two generations bounded by bytes, which end with the task unless a worker is to keep them for its
+other tasks. Ids travel as little-endian unsigned 32-bit numbers in a binary column, a quarter of what an array of longs takes. Results are handed on every
 ``SLICE`` bytes of text, and texts that are only compared or hashed don't leave the Python worker.
 
 Edge cases: a null text counts as empty and gives no ids; null ids decode to an empty text; an id
@@ -27,11 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritide.llm.common import col, fresh
-from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, plain_pieces, stretches
+from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, per_worker, plain_pieces, stretches
 
 #: Bytes that one generation of what a task remembers takes.
-CHUNKS_KEPT = 8 << 20
-PIECES_KEPT = 32 << 20
+CHUNKS_KEPT = 16 << 20
+PIECES_KEPT = 48 << 20
 #: Bytes of text after which results are handed on.
 SLICE = 4 << 20
 
@@ -175,9 +175,12 @@ def decoded(ids: Column, spec: Spec) -> Column:
     return run(ids)
 
 
-def tokens(text: Column, spec: Spec, *fields: str) -> Column:
+def tokens(text: Column, spec: Spec, *fields: str, keep: bool = False) -> Column:
     """A struct of the named ``FIELDS`` of a text, encoded and decoded in one pass.
 
+    ``keep`` leaves what is remembered (two generations of ``CHUNKS_KEPT`` and ``PIECES_KEPT`` bytes) to a worker's next tasks:
+    less work, and memory that stays taken.
+
     ``decoded`` is the text that decoding the ids gives, ``same_text`` whether that is the text, and the hashes
     are SHA-256 in hex of ``ids`` and of ``decoded`` in UTF-8.
     """
@@ -186,7 +189,8 @@ def tokens(text: Column, spec: Spec, *fields: str) -> Column:
 
     @F.arrow_udf("struct<" + ", ".join(f"{name}: {FIELDS[name][0]}" for name in names) + ">")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, decoder = Encoder(spec), Decoder(spec)
+        encoder = per_worker("encoder", spec, Encoder) if keep else Encoder(spec)
+        decoder = Decoder(spec)
 
         def made(text: str | None) -> dict:
             ids = encoder.packed(text)
@@ -218,5 +222,5 @@ def round_trip(documents: DataFrame, spec: Spec, *fields: str, text: str = "text
 
 def digests(documents: DataFrame, spec: Spec, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens`` and the SHA-256 of ids and decoded text of a round trip."""
-    made = tokens(col(text), spec, "n_tokens", "ids_sha256", "decoded_sha256")
+    made = tokens(col(text), spec, "n_tokens", "ids_sha256", "decoded_sha256", keep=True)
     return documents.select(col(doc_id).alias("doc_id"), made.alias("made")).select("doc_id", "made.*")

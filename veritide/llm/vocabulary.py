@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from dataclasses import dataclass
 
 import regex
@@ -97,6 +99,14 @@ def plain_pieces(chunk: str) -> list[str] | None:
     return None
 
 
+def per_worker(name: str, spec: Spec, make):
+    """One object for all tasks of a Python worker; what it remembers must be bounded by bytes."""
+    kept = sys.modules.setdefault("_veritide_worker", types.ModuleType("_veritide_worker")).__dict__
+    if name not in kept or kept[name][0] != spec.content:
+        kept[name] = (spec.content, make(spec))
+    return kept[name][1]
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable ones for themselves, others from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
