@@ -30,8 +30,11 @@ from veritide.llm.common import col, fresh
 from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, per_worker, plain_pieces, stretches
 
 #: Bytes that one generation of what a task remembers takes.
-CHUNKS_KEPT = 16 << 20
-PIECES_KEPT = 48 << 20
+CHUNKS_KEPT = 8 << 20
+PIECES_KEPT = 32 << 20
+#: The same for a worker that keeps it for its next tasks.
+WORKER_CHUNKS = 16 << 20
+WORKER_PIECES = 48 << 20
 #: Bytes of text after which results are handed on.
 SLICE = 4 << 20
 
@@ -47,7 +50,7 @@ FIELDS = {
 
 
 class Encoder:
-    def __init__(self, spec: Spec):
+    def __init__(self, spec: Spec, chunks: int | None = None, pieces: int | None = None):
         parsed = spec.parsed()
         vocab, letters = parsed["model"]["vocab"], byte_letters()
         self.symbol = [vocab[x] for x in letters]
@@ -59,8 +62,8 @@ class Encoder:
             self.rank.setdefault(vocab[a] << self.shift | vocab[b], len(self.joined))
             self.joined.append(vocab[a + b])
         self.added = {t["content"]: t["id"] for t in parsed.get("added_tokens", [])}
-        self.by_piece = Recent(self._piece, PIECES_KEPT)
-        self.by_chunk = Recent(self._chunk, CHUNKS_KEPT)
+        self.by_piece = Recent(self._piece, pieces or PIECES_KEPT)
+        self.by_chunk = Recent(self._chunk, chunks or CHUNKS_KEPT)
 
     def merged(self, data: bytes) -> list[int]:
         """The ids of one piece. Entries of the queue are rank and place in one number; one is stale
@@ -178,7 +181,7 @@ def decoded(ids: Column, spec: Spec) -> Column:
 def tokens(text: Column, spec: Spec, *fields: str, keep: bool = False) -> Column:
     """A struct of the named ``FIELDS`` of a text, encoded and decoded in one pass.
 
-    ``keep`` leaves what is remembered (two generations of ``CHUNKS_KEPT`` and ``PIECES_KEPT`` bytes) to a worker's next tasks:
+    ``keep`` leaves what is remembered (two generations of ``WORKER_CHUNKS`` and ``WORKER_PIECES`` bytes) to a worker's next tasks:
     less work, and memory that stays taken.
 
     ``decoded`` is the text that decoding the ids gives, ``same_text`` whether that is the text, and the hashes
@@ -189,7 +192,8 @@ def tokens(text: Column, spec: Spec, *fields: str, keep: bool = False) -> Column
 
     @F.arrow_udf("struct<" + ", ".join(f"{name}: {FIELDS[name][0]}" for name in names) + ">")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = per_worker("encoder", spec, Encoder) if keep else Encoder(spec)
+        own = lambda s: Encoder(s, WORKER_CHUNKS, WORKER_PIECES)
+        encoder = per_worker("encoder", spec, own) if keep else Encoder(spec)
         decoder = Decoder(spec)
 
         def made(text: str | None) -> dict:
