@@ -20,6 +20,7 @@ from veritide.operators import clean, mask, pii, profile, text_pii, validate  #
 from veritide.operators.judge import judge  # noqa: E402
 from veritide.operators.key_history import KeyHistory  # noqa: E402
 from veritide.operators.keys import repeated_rows  # noqa: E402
+from veritide.operators.renumber import dense_numbers  # noqa: E402
 from veritide.operators.rules import Rule, customer_rules  # noqa: E402
 from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
 from veritide.session import scratch_folder  # noqa: E402
@@ -370,6 +371,7 @@ def _customer_queries() -> dict[str, Query]:
         "drop_fill_flag": _on_raw(_drop_fill_flag),
         "missing_value_log": _on_raw(lambda raw: clean.missing_log(clean.normalize_columns(raw))),
         "cleaned": _on_raw(clean.clean),
+        "renumbered": _on_raw(lambda raw: dense_numbers(clean.clean(raw)).select(ROW_ID, KEY, "position")),
         "before_after_validation": _on_raw(lambda raw: _before_after(raw)[0]),
         "before_after_by_check": _on_raw(lambda raw: _before_after(raw)[1]),
         # Masking

@@ -511,6 +511,7 @@ def _customers() -> dict[str, str]:
             UNION ALL SELECT '', '', 'quarantined', 10 FROM (SELECT 1 FROM customers_raw WHERE row_id % 3 = 1 LIMIT 2)""",
         "keys_over_days": """SELECT customer_id, count(*) AS row_count FROM customers_raw WHERE trim(customer_id) <> ''
             GROUP BY customer_id HAVING count(*) > 1""",
+        "renumbered": """SELECT row_id, customer_id, row_number() OVER (ORDER BY row_id) - 1 AS position FROM cleaned""",
         "csv_reordered_header": "SELECT * EXCLUDE row_id FROM customers_raw",
         "csv_quoted_breaks": """SELECT * EXCLUDE row_id REPLACE ('"The" ' || address || chr(10) || 'Floor "2"' || chr(10) AS address)
             FROM customers_raw""",
