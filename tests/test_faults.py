@@ -3,8 +3,8 @@ from conftest import AS_OF
 from pyspark.sql import functions as F
 
 from veritide import contract
+from veritide.operators.judge import judge
 from veritide.operators.rules import customer_rules
-from veritide.operators.validate import validate
 from veritide.sources.faults import FAULTS, generate_customers
 
 
@@ -47,7 +47,7 @@ def test_every_kind_of_fault_is_there(table):
 
 def test_first_rows_have_a_fault_each_and_the_rest_can_be_clean(spark):
     clean = generate_customers(spark, 2000, error_rate=0, format_variation_rate=0, duplicate_rate=0, as_of=AS_OF)
-    failures = validate(clean, customer_rules(AS_OF)).failures
+    failures = judge(clean, customer_rules(AS_OF)).failures
     # Only the first rows, the last row and the row whose id that one took can fail.
     last = clean.filter("row_id = 2000").first().customer_id
     late = failures.filter(f"row_id > {len(FAULTS)}").collect()
