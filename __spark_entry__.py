@@ -23,6 +23,7 @@ from veritide.operators.keys import repeated_rows  # noqa: E402
 from veritide.operators.renumber import dense_numbers  # noqa: E402
 from veritide.operators.rules import Rule, customer_rules  # noqa: E402
 from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
+from veritide.plans.published import Published  # noqa: E402
 from veritide.session import scratch_folder  # noqa: E402
 from veritide.sources import records, tables  # noqa: E402
 from veritide.sources.faults import customers_for  # noqa: E402
@@ -283,6 +284,28 @@ def _job_stages_one_by_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("stage", F.explode("details").alias("metric", "value"))
 
 
+def _job_dead_attempt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is published after a stage died half-way: each row twice, written, then refused for repeated row numbers.
+
+    A stage that runs after it reads the version before. Rows are those of the folder that the manifest names.
+    """
+    folder, source = scratch_folder(spark), _raw(spark, sf_dir)
+    run_job(spark, source, folder, AS_OF, stages=["sense_raw_data", "validate_raw"])
+    try:
+        run_job(spark, source.unionAll(source), folder, AS_OF, row_id=ROW_ID, stages=["sense_raw_data"])
+    except StageFailed:
+        pass
+    run_job(spark, None, folder, AS_OF, stages=["validate_raw", "clean_and_revalidate"])
+    published = Published(spark, folder)
+    counted = [
+        spark.read.parquet(f"{published.last()[stage].place}/{name}").agg(F.count("*").alias("rows")).select(F.lit(stage).alias("stage"), "rows")
+        for stage, name in (("sense_raw_data", "raw"), ("validate_raw", "validation/failures"), ("clean_and_revalidate", "cleaned"))
+    ]
+    rows = reduce(DataFrame.unionByName, counted)
+    versions = published.manifest().groupBy("stage").agg(F.max("version").alias("version"))
+    return versions.join(rows, "stage")
+
+
 def _job_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, its results written to the scratch folder; times are left out."""
     report = run_job(spark, _raw(spark, sf_dir), scratch_folder(spark), AS_OF)
@@ -382,6 +405,7 @@ def _customer_queries() -> dict[str, Query]:
         "job_stage_metrics": _job_stage_metrics,
         "job_stages_one_by_one": _job_stages_one_by_one,
         "job_failed_stage": _job_failed_stage,
+        "job_dead_attempt": _job_dead_attempt,
     }
 
 

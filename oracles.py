@@ -502,6 +502,9 @@ def _customers() -> dict[str, str]:
                 recorded("job", "FAILED"),
             ]
         ),
+        "job_dead_attempt": f"""SELECT 'sense_raw_data' AS stage, 1::BIGINT AS version, (SELECT count(*) FROM customers_raw) AS rows
+            UNION ALL SELECT 'validate_raw', 2, (SELECT count(*) FROM ({cases('customers_raw')}))
+            UNION ALL SELECT 'clean_and_revalidate', 1, (SELECT count(*) FROM cleaned)""",
         "csv_malformed_rows": """SELECT customer_id, email, row_id % 40 = 7 OR row_id % 50 = 9 AS malformed
             FROM customers_raw""",
         "csv_multiline": "SELECT * EXCLUDE row_id REPLACE (address || chr(10) || 'Floor 2' AS address) FROM customers_raw",

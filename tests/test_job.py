@@ -7,6 +7,7 @@ from conftest import AS_OF
 from veritide import contract
 from veritide.__main__ import main
 from veritide.plans.job import STAGES, StageFailed, run_job
+from veritide.plans.published import Published
 from veritide.sources.tables import read_csv, write_csv
 from veritide.streaming.daily import mask_new_files
 
@@ -109,3 +110,43 @@ def test_a_source_that_the_job_would_write_is_refused(spark, tmp_path, valid_row
     with pytest.raises(ValueError, match="overlaps"):
         run_job(spark, str(tmp_path / source), str(tmp_path), AS_OF)
     assert kept.read_bytes() == before and not (tmp_path / "execution").exists()
+
+
+def test_an_attempt_that_dies_leaves_the_version_before_it(spark, tmp_path, customers, valid_rows):
+    out = str(tmp_path / "out")
+    run_job(spark, customers(*valid_rows), out, AS_OF)
+    published = Published(spark, out)
+    before = published.last()
+    assert {v.version for v in before.values()} == {1} and {v.place for v in before.values()} == {out}
+    twice = customers(*valid_rows[:2]).unionAll(customers(*valid_rows[:2]))
+    with pytest.raises(StageFailed, match="row number"):
+        run_job(spark, twice, out, AS_OF, row_id="row_id", stages=["sense_raw_data"])
+    assert len(list((tmp_path / "out/attempts").glob("*/raw/_SUCCESS"))) == 1  # written, and not published
+    assert published.last() == before
+    again = run_job(spark, None, out, AS_OF, stages=["profile_quality"])
+    assert again.stages[0].details["row_count"] == 3
+    assert published.last()["profile_quality"].version == 2
+    assert spark.read.parquet(f"{out}/raw").count() == 3
+
+
+def test_a_new_version_lies_beside_the_old_one(spark, tmp_path, customers, valid_rows):
+    out = str(tmp_path / "out")
+    run_job(spark, customers(*valid_rows), out, AS_OF)
+    old = spark.read.parquet(f"{out}/masked")
+    run_job(spark, customers(*valid_rows[:2]), out, AS_OF)
+    assert old.count() == 3
+    last = Published(spark, out).last()
+    assert spark.read.parquet(f"{last['mask_pii'].place}/masked").count() == 2
+    assert last["mask_pii"].made_from == {"clean_and_revalidate": 2}
+
+
+def test_results_that_do_not_belong_together_are_refused(spark, tmp_path, customers, valid_rows):
+    out = str(tmp_path / "out")
+    run_job(spark, customers(*valid_rows), out, AS_OF, stages=["sense_raw_data", "validate_raw"])
+    with pytest.raises(StageFailed, match="takes ages at"):
+        run_job(spark, None, out, AS_OF.replace(year=2027), stages=["clean_and_revalidate"])
+    run_job(spark, customers(*valid_rows[:2]), out, AS_OF, stages=["sense_raw_data"])
+    with pytest.raises(StageFailed, match="version 1 of sense_raw_data, which is at 2"):
+        run_job(spark, None, out, AS_OF, stages=["clean_and_revalidate"])
+    with pytest.raises(StageFailed, match="needs clean_and_revalidate"):
+        run_job(spark, None, out, AS_OF, stages=["mask_pii"])
