@@ -16,10 +16,11 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles  # noqa: E402
 from veritide.contract import COLUMNS, KEY, ROW_ID  # noqa: E402
 from veritide.functions.normalize import normalize_date, normalize_name, normalize_phone  # noqa: E402
-from veritide.operators import clean, mask, pii, profile, text_pii, validate  # noqa: E402
+from veritide.operators import clean, mask, pii, profile, profile_history, text_pii, validate  # noqa: E402
 from veritide.operators.judge import judge  # noqa: E402
 from veritide.operators.key_history import KeyHistory  # noqa: E402
 from veritide.operators.keys import repeated_rows  # noqa: E402
+from veritide.operators.profile_history import ProfileHistory  # noqa: E402
 from veritide.operators.renumber import dense_numbers  # noqa: E402
 from veritide.operators.rules import Rule, customer_rules  # noqa: E402
 from veritide.plans.job import RECORD, STAGES, StageFailed, run_job  # noqa: E402
@@ -116,6 +117,36 @@ def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers_for(ids, customer.count(), as_of=AS_OF)
 
 
+def _generated_exact_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many generated rows carry another row's id, at three rates, for as many rows as there are customers.
+
+    Row 16 lacks its own id unless it took one.
+    """
+    customer = _table(spark, sf_dir, "customer")
+    ids = dense_numbers(customer.select(F.col("c_custkey").cast("bigint").alias(ROW_ID)), "place")
+    numbers, n_rows = ids.select((F.col("place") + 1).alias(ROW_ID)), customer.count()
+    found = []
+    for rate in (0.02, 0.1, 0.3):
+        made = customers_for(numbers, n_rows, error_rate=0, duplicate_rate=rate, as_of=AS_OF, exact_duplicates=True)
+        other = F.count_if(F.col(KEY) != F.col(ROW_ID).cast("string"))
+        blank = F.count_if((F.col(ROW_ID) == 16) & (F.col(KEY) == ""))
+        found.append(made.agg(F.lit(rate).alias("rate"), F.count("*").alias("rows"), (other - blank).alias("repeats")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _profile_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of three days merged from what was kept of each, and whether distinct values are within the stated error."""
+    seen = tables.inferred_view(_raw(spark, sf_dir))
+    history = ProfileHistory(spark, scratch_folder(spark))
+    for day in (0, 1, 2, 1):
+        history.add(f"day-{day}", seen.where(F.col(ROW_ID) % 3 == day))
+    merged = history.merged()
+    distinct = seen.agg(*[F.count_distinct(c).alias(c) for c in COLUMNS])
+    exact = distinct.select(F.explode(F.create_map(*[x for c in COLUMNS for x in (F.lit(c), F.col(c))])).alias("column", "distinct"))
+    apart = F.abs(F.col("distinct_estimate") - F.col("distinct")) <= F.ceil(F.col("distinct") * profile_history.ERROR)
+    return merged.join(F.broadcast(exact), "column").select(*merged.columns[:-1], apart.alias("within_error"))
+
+
 def _csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written with a surplus field or without their last one, set apart when read."""
     raw, folder = _raw(spark, sf_dir), scratch_folder(spark)
@@ -341,6 +372,7 @@ def _customer_queries() -> dict[str, Query]:
         "csv_reordered_header": _csv_reordered_header,
         "csv_quoted_breaks": _csv_quoted_breaks,
         "generated_properties": _generated_properties,
+        "generated_exact_repeats": _generated_exact_repeats,
         # Profile
         "completeness": _on_inferred(profile.completeness),
         "type_profile": _on_inferred(profile.type_profile),
@@ -359,6 +391,7 @@ def _customer_queries() -> dict[str, Query]:
         "event_type_counts": _on(
             "events", lambda t: profile.value_counts(t, "event_type", EVENT_TYPES)
         ),
+        "profile_over_days": _profile_over_days,
         "written_report_sections": _written_report_sections,
         # PII
         "pii_occurrences": _on_raw(pii.pii_occurrences),

@@ -330,6 +330,11 @@ def _profile() -> dict[str, str]:
             *[f"'{c}' | {n(c + ' IS NULL')} | {pct(n(c + ' IS NULL'), 'count(*)')}" for c in COLUMNS],
             table="seen",
         ),
+        "profile_over_days": rows(
+            "column row_count missing_count missing_pct within_error",
+            *[f"'{c}' | count(*) | {n(c + ' IS NULL')} | {pct(n(c + ' IS NULL'), 'count(*)')} | true" for c in COLUMNS],
+            table="seen",
+        ),
         "type_profile": rows(
             "column expected_type actual_dtype matches_expected",
             *[f"'{c}' | '{expected[c]}' | {dtype(c)} | {fits(c)}" for c in COLUMNS],
@@ -550,6 +555,8 @@ def _supplied_tables() -> dict[str, str]:
             coalesce(event_type IN ('click', 'view', 'purchase'), false) AS is_valid
             FROM events GROUP BY events.event_type""",
         "generated_customers": generated(),
+        "generated_exact_repeats": """SELECT CAST(r AS DOUBLE) AS rate, n AS rows, greatest(1, CAST(round_even(n * r, 0) AS BIGINT)) AS repeats
+            FROM (SELECT count(*) AS n FROM customer), (VALUES (0.02), (0.1), (0.3)) rates(r)""",
         "generated_properties": "SELECT p.property, true AS holds, n.rows FROM (VALUES "
         + ", ".join(f"('{p}')" for p in PROPERTIES)
         + ") p(property), (SELECT count(*) AS rows FROM customer) n",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from veritide.functions.names import exact
 from veritide.functions.text import is_present
+from veritide.sources.tables import exists
 
 MANIFEST = "version bigint, day string, keys bigint"
 
@@ -31,7 +32,7 @@ class KeyHistory:
     def manifest(self) -> DataFrame:
         """A row for each version that is whole: ``version``, ``day`` and its number of ``keys``."""
         path = f"{self.folder}/manifest"
-        if not _exists(self.spark, path):
+        if not exists(self.spark, path):
             return self.spark.createDataFrame([], MANIFEST)
         return self.spark.read.schema(MANIFEST).json(f"{path}/*/part-*")
 
@@ -79,8 +80,3 @@ class KeyHistory:
     def repeated(self) -> DataFrame:
         """``key_text`` and ``row_count`` of the keys that came more than once, on one day or on several."""
         return self.counts().where("n > 1").select("key_text", F.col("n").alias("row_count"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritide.sources.tables import exists
+
 MANIFEST = "stage string, version bigint, place string, as_of string, made_from map<string,bigint>, details map<string,string>"
 
 
@@ -37,13 +39,9 @@ class Published:
     spark: SparkSession
     folder: str
 
-    def exists(self, path: str) -> bool:
-        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
-
     def manifest(self) -> DataFrame:
         """A row for each version of each stage."""
-        if not self.exists(f"{self.folder}/manifest"):
+        if not exists(self.spark, f"{self.folder}/manifest"):
             return self.spark.createDataFrame([], MANIFEST)
         # A record's one file gets its name when it is whole.
         return self.spark.read.schema(MANIFEST).json(f"{self.folder}/manifest/*/part-*")
@@ -58,7 +56,7 @@ class Published:
 
     def new_place(self, folders: list[str]) -> str:
         """Where an attempt may write these folders: nothing is there yet."""
-        used = any(self.exists(f"{self.folder}/{name}") for name in folders)
+        used = any(exists(self.spark, f"{self.folder}/{name}") for name in folders)
         return f"{self.folder}/attempts/{uuid.uuid4().hex}" if used else self.folder
 
     def publish(self, stage: str, place: str, as_of: dt.date, inputs: dict[str, Version], details: dict) -> int:

@@ -7,6 +7,7 @@ the table can be as large as the range of row numbers.
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from veritide import contract
 from veritide.contract import COLUMNS, KEY, ROW_ID
 from veritide.functions.dates import resolve_as_of
+from veritide.operators.selection import at_most, kth_smallest
 
 FIRST_NAMES = [
     "Ada", "Bruno", "Carla", "Dmitri", "Elena", "Farid", "Greta", "Hugo", "Ines", "Jonas",
@@ -55,6 +57,10 @@ INVALID_STATUSES = ["Active", "ACTIVE", "pending", "closed", "N/A", ""]
 SHORT_ADDRESSES = ["1 A St", "Short", "12 Elm"]
 OTHER_DATE_FORMATS = ["MM/dd/yyyy", "dd-MMM-yyyy", "dd/MM/yyyy"]
 
+# The defaults of the generator.
+ROWS, SEED = 1000, 42
+RATES = {"error_rate": 0.15, "format_variation_rate": 0.3, "duplicate_rate": 0.02}
+
 # Draws are integers below this prime; their products stay within 64 bits.
 PRIME = 2147483647
 # What a draw is for. The place in the list makes the draws of a row independent of one another.
@@ -90,19 +96,22 @@ def with_draws(
 def generate_customers(
     spark: SparkSession,
     n_rows: int,
-    seed: int = 42,
-    error_rate: float = 0.15,
-    format_variation_rate: float = 0.3,
-    duplicate_rate: float = 0.02,
+    seed: int = SEED,
+    error_rate: float = RATES["error_rate"],
+    format_variation_rate: float = RATES["format_variation_rate"],
+    duplicate_rate: float = RATES["duplicate_rate"],
     as_of: dt.date | Column | None = None,
     shuffled: bool = False,
+    exact_duplicates: bool = False,
 ) -> DataFrame:
     """``n_rows`` customers as text with a row number; see ``customers_for``."""
     if n_rows <= 0:
         raise ValueError("n_rows must be positive")
+    if n_rows < len(FAULTS):
+        warnings.warn(f"{n_rows} rows hold the first {n_rows} of {len(FAULTS)} kinds of faults only", stacklevel=2)
     rows = spark.range(1, n_rows + 1).select(F.col("id").alias(ROW_ID))
     table = customers_for(
-        rows, n_rows, seed, error_rate, format_variation_rate, duplicate_rate, as_of
+        rows, n_rows, seed, error_rate, format_variation_rate, duplicate_rate, as_of, exact_duplicates
     )
     if not shuffled:
         return table
@@ -112,17 +121,20 @@ def generate_customers(
 def customers_for(
     rows: DataFrame,
     n_rows: int,
-    seed: int = 42,
-    error_rate: float = 0.15,
-    format_variation_rate: float = 0.3,
-    duplicate_rate: float = 0.02,
+    seed: int = SEED,
+    error_rate: float = RATES["error_rate"],
+    format_variation_rate: float = RATES["format_variation_rate"],
+    duplicate_rate: float = RATES["duplicate_rate"],
     as_of: dt.date | Column | None = None,
+    exact_duplicates: bool = False,
 ) -> DataFrame:
     """A customer per row number of ``rows``, which run from 1 to ``n_rows``.
 
     The first rows have one fault each, in order. Later rows have a random fault at ``error_rate``
     and, apart from that, another phone layout at ``format_variation_rate``. At ``duplicate_rate`` a
-    row takes over the id of another one; the last row always does.
+    row takes over the id of another one; the last row always does. With ``exact_duplicates`` that rate
+    doesn't hold in expectation only: ``n_rows`` times it, rounded and at least 1, rows take over the id
+    of another row. Those are found by a few passes over the row numbers.
     """
     for name, rate in (
         ("error_rate", error_rate),
@@ -144,7 +156,8 @@ def customers_for(
     varied = other_layout(faulty, "second_layout").withColumn(
         "phone", F.when(F.col("varies"), F.col("other_phone")).otherwise(F.col("phone"))
     )
-    taken = with_source_ids(varied, n_rows, error_rate, duplicate_rate, seed)
+    own = rows if exact_duplicates else None
+    taken = with_source_ids(varied, n_rows, error_rate, duplicate_rate, seed, own)
     return taken.select(ROW_ID, *COLUMNS)
 
 
@@ -289,17 +302,35 @@ def _faulty_columns(as_of: Column) -> dict[str, Column]:
 
 
 def with_source_ids(
-    table: DataFrame, n_rows: int, error_rate: float, duplicate_rate: float, seed: int
+    table: DataFrame, n_rows: int, error_rate: float, duplicate_rate: float, seed: int, rows: DataFrame | None = None
 ) -> DataFrame:
     """Overwrite ids by those of other rows, which need no lookup as they follow from the number.
 
-    The source is never the last row, so the last row always takes an id used before.
+    The source is never the last row, so the last row always takes an id used before. Given the row
+    numbers in ``rows``, exactly as many rows as the rate says take an id, and none its own.
     """
     if n_rows < 2:
         return table
-    numbered = table.withColumn("source", F.col("draw_source") % (n_rows - 1) + 1)
+    source = F.col("draw_source") % (n_rows - 1) + 1
+    if rows is None:
+        taken = _happens("duplicate", duplicate_rate)
+    else:
+        taken = _exactly(rows, n_rows, max(1, round(n_rows * duplicate_rate)) - 1, seed)
+        # A row before the last leaves itself out; with two rows there is no other before the last.
+        among = F.col("draw_source") % max(1, n_rows - 2) + 1
+        among = among + (among >= F.col(ROW_ID)).cast("int")
+        source = F.when(F.col(ROW_ID) == n_rows, source).otherwise(among)
+    numbered = table.withColumn("source", source)
     sources = with_draws(numbered, "source", ["has_fault", "fault"], seed, "source_")
     lacks_id = _fault_number(F.col("source"), "source_", error_rate) == fault_code(f"missing_{KEY}")
     source_id = F.when(lacks_id, F.lit("")).otherwise(F.col("source").cast("string"))
-    taken = _happens("duplicate", duplicate_rate) | (F.col(ROW_ID) == n_rows)
-    return sources.withColumn(KEY, F.when(taken, source_id).otherwise(F.col(KEY)))
+    return sources.withColumn(KEY, F.when(taken | (F.col(ROW_ID) == n_rows), source_id).otherwise(F.col(KEY)))
+
+
+def _exactly(rows: DataFrame, n_rows: int, wanted: int, seed: int) -> Column:
+    """Whether a row is one of the ``wanted`` rows before the last with the smallest draws."""
+    if wanted == 0:
+        return F.lit(False)
+    drawn = with_draws(rows.select(ROW_ID).where(F.col(ROW_ID) < n_rows), ROW_ID, ["duplicate"], seed)
+    keys = {"draw_duplicate": PRIME.bit_length(), ROW_ID: n_rows.bit_length()}
+    return (F.col(ROW_ID) < n_rows) & at_most(list(keys), kth_smallest(drawn, wanted, keys))

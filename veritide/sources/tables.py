@@ -107,6 +107,12 @@ def write_csv(table: DataFrame, path: str) -> None:
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on whichever file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(found)
+
+
 def write_table(table: DataFrame, path: str) -> DataFrame:
     """Write as Parquet and give back the written table, which cuts the lineage."""
     table.write.mode("overwrite").parquet(path)
