@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from veritide.llm import bpe, chat, graph_ann, hamming, kd_shards, rans, simhash
 from veritide.llm import queries as corpus
-from veritide.llm.components import components
+from veritide.llm.components import components, with_least
 from veritide.llm.vocabulary import Spec
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -89,6 +89,45 @@ def test_links_connect_what_is_near(spark, distance):
     assert _roots(signed, found) == expected
 
 
+@pytest.mark.parametrize("distance", [1, 2, 3])
+@pytest.mark.parametrize("shift", [0, 32])
+def test_links_of_a_crowded_half(spark, distance, shift, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 30)
+    rng = random.Random(distance + shift)
+    shared = rng.getrandbits(32) << (32 - shift)
+    codes = {shared | rng.getrandbits(32) << shift for _ in range(100)}
+    for c in list(codes):
+        for n in (1, 2, 3, 4):
+            codes.add(c ^ sum(1 << i for i in rng.sample(range(64), n)))
+    signed = [c - (1 << 64) if c >> 63 else c for c in codes]
+    apart = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    expected = _roots(signed, [p for p in itertools.combinations(signed, 2) if apart(*p) <= distance])
+    frame = spark.createDataFrame([(c,) for c in signed], "print long")
+    found = [(r["hub"], r["print"]) for r in simhash.links(frame, distance).collect()]
+    assert _roots(signed, found) == expected and all(apart(*p) <= distance for p in found)
+
+
+def test_a_crowded_half_is_spread_over_the_tasks(spark):
+    prints = spark.range(20_000).select((F.col("id") * 7919 + (5 << 40)).alias("print"))
+    high = range(32, 64)
+    crowded = simhash._crowded(prints, high)
+    assert crowded.count() == 33 and {5 << 8, 5 << 8 ^ 1} < {r["half"] for r in crowded.collect()}
+    masks = F.lit([0, *(1 << i for i in range(32))])
+    met = simhash._met_at(prints.withColumn("code", F.col("print")), masks, high, crowded)
+    sizes = [r["n"] for r in met.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 33 * 20_000 and max(sizes) < 1.2 * sum(sizes) / len(sizes) and len(sizes) == 4
+
+
+def test_edges_of_a_hub_meet_in_parts(spark):
+    edges = spark.range(1, 3001).selectExpr("0L AS a", "id AS b").unionAll(spark.range(5000, 5100).selectExpr("id AS a", "id + 1 AS b"))
+    found = {(r["node"], r["root"]) for r in components(edges, "a", "b").collect()}
+    assert found == {(i, 0) for i in range(1, 3001)} | {(i, 5000) for i in range(5001, 5101)}
+    least = with_least(edges, "a", "b", "b", "m")
+    assert least.where("m <> CASE WHEN a = 0 THEN 1 ELSE b END").count() == 0 and least.count() == 3100
+    plan = least._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(a" in plan and plan.count("__part") > 4
+
+
 def test_simhash_of_odd_rows(spark, odd):
     found = simhash.grouped(odd).collect()
     assert len(found) == 7

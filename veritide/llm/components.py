@@ -1,14 +1,15 @@
 """Connected components of a graph given as pairs, by alternating large and small stars.
 
 Each round groups edges by a node, takes the smallest neighbour and joins it back (Kiveris and
-others 2014); the number of rounds grows with the logarithm of the number of nodes. Minima are
-combined before the shuffle and a hub's edges are never gathered, so a hub of any degree is fine;
-the join back is one that AQE splits. Each round is checkpointed, so a lost executor costs one round.
+others 2014); the number of rounds grows with the logarithm of the number of nodes. The edges of a
+node are dealt into parts, one for each shuffle partition at most: minima are taken by part, then over
+the few parts, and joined back by part, so a hub's edges never meet in one task. Each round is
+checkpointed, so a lost executor costs one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.llm.common import settled
@@ -20,6 +21,18 @@ def _state(pairs: DataFrame):
     ).first()
 
 
+def with_least(frame: DataFrame, key: str, spread: str, value: str, into: str) -> DataFrame:
+    """The frame with ``into``, the least ``value`` of its ``key``; rows of a key are dealt into parts by ``spread``.
+
+    Null keys are left out, and nulls among the values are passed over.
+    """
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = frame.withColumn("__part", F.pmod(F.xxhash64(spread), F.lit(parts)).cast("int"))
+    by_part = dealt.groupBy(key, "__part").agg(F.min(value).alias(into))
+    least = by_part.withColumn(into, F.min(into).over(Window.partitionBy(key)))  # a row for each part
+    return dealt.join(least, [key, "__part"]).drop("__part")
+
+
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """``node`` and ``root`` for each node of an edge that isn't its component's smallest node.
 
@@ -33,16 +46,14 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     state = _state(pairs)
     while state["n"]:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.join(least, "u")
+            with_least(both, "u", "v", "v", "m")
             .where("v > u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
             .distinct()
         )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(least, "u")
+            with_least(large, "u", "v", "v", "m")
             .select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
             .distinct()
         )

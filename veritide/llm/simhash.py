@@ -6,8 +6,10 @@ distance 3 the two have different parity, so only even fingerprints have to emit
 and of any three bits two lie in the same half, so pairs within a half are enough: 992 of 2016.
 
 Fingerprints are made distinct first, so a group of copies of any size emits one ball, and a variant
-is emitted by at most 65 fingerprints at radius 1: no key is hot. Variants that share a half are
-shuffled as one row, by that half, and made where they meet. All fingerprints that meet in a
+is emitted by at most 65 fingerprints at radius 1: no variant is hot. Variants that share a half are
+shuffled as one row, by that half, and made where they meet. A half that many fingerprints share is
+told beforehand by its count; its variants, and those of halves one bit away, are made before the
+shuffle and dealt one by one. All fingerprints that meet in a
 variant are linked to the smallest one of its radius-1 ball (at most 1 + 2 bits away), which keeps
 every component whole with no pairs of a group emitted. Links are made distinct and verified.
 
@@ -27,12 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.llm.common import col, setting, settled
-from veritide.llm.components import components
+from veritide.llm.components import components, with_least
 
 WORDS = 3
 DISTANCE = 3
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
+#: A half is crowded if more fingerprints than this share it, and more than one in ``CROWDS`` of all: so there are
+#: fewer than ``CROWDS`` such halves, and 33 times as many with those one bit away, which is what is broadcast.
+CROWD = 2000
+CROWDS = 20_000
 
 
 def fingerprint_of(text: str | None, words: int = WORDS) -> int:
@@ -93,33 +99,56 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return found.where("hub != print").distinct().where(apart <= distance)
 
 
+def _other_half(code: Column, other: range) -> Column:
+    whole = F.lit((1 << 32) - 1)
+    return F.shiftrightunsigned(code, 32) if other[0] else code.bitwiseAND(whole)
+
+
+def _crowded(prints: DataFrame, other: range) -> DataFrame:
+    """``half``: halves that many fingerprints share, and those one bit away, where these fingerprints go as well."""
+    counts = prints.groupBy(_other_half(F.col("print"), other).alias("half")).agg(F.count("*").alias("n"))
+    limit = max(CROWD, prints.count() // CROWDS)
+    flips = F.lit([0, *(1 << i for i in range(32))]).cast("array<bigint>")
+    around = counts.where(F.col("n") > limit).select(F.explode(flips).alias("flip"), "half")
+    return settled(around.select(F.col("half").bitwiseXOR(F.col("flip")).alias("half")).distinct())
+
+
+def _met_at(frame: DataFrame, masks: Column, other: range, crowded: DataFrame) -> DataFrame:
+    """``print, half, salt, variant`` by the masks of each ``print`` and ``code``, dealt to where variants meet."""
+    alone = F.lit([0])
+    marks = F.broadcast(crowded.withColumn("crowded", F.lit(True)))
+    marked = frame.withColumn("half", _other_half(F.col("code"), other)).join(marks, "half", "left")
+    first = F.when(F.col("crowded"), masks).otherwise(alone)
+    variant = F.col("code").bitwiseXOR(F.col("flip"))
+    made = marked.select("*", F.explode(first).alias("flip")).select(
+        "print",
+        "half",
+        variant.alias("code"),
+        F.when(F.col("crowded"), variant).otherwise(F.lit(0)).alias("salt"),
+        F.coalesce("crowded", F.lit(False)).alias("made"),
+    )
+    dealt = made.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")), "half", "salt")
+    rest = F.when(F.col("made"), alone).otherwise(masks)
+    flipped = dealt.select("print", "half", "salt", "code", F.explode(rest).alias("flip"))
+    return flipped.select("print", "half", "salt", variant.alias("variant"))
+
+
 def _met(prints: DataFrame, own: range, other: range, distance: int, *, inner: bool) -> DataFrame:
     """Links by variants whose bits of the half ``own`` were flipped, or one bit of either half.
 
     Variants are dealt by their ``other`` half. All variants that flip bits of ``own`` alone share it, so
-    they travel as one row and are made where they meet.
+    they travel as one row and are made where they meet; in crowded halves they are made first, and dealt
+    by the variant too.
     """
-    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ball = [_signed(1 << i) for i in own] if distance >= 2 else []
     across = [_signed(1 << i) for i in other] if distance >= 2 else []
-
-    def other_half(code: Column) -> Column:
-        whole = F.lit((1 << 32) - 1)
-        return F.shiftrightunsigned(code, 32) if other[0] else code.bitwiseAND(whole)
-
-    def dealt(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("half", other_half(F.col("code"))).repartition(partitions, "half")
-
-    def variants(frame: DataFrame, masks: Column) -> DataFrame:
-        made = frame.select("print", "code", "half", F.explode(masks).alias("flip"))
-        return made.select("print", "half", F.col("code").bitwiseXOR(F.col("flip")).alias("variant"))
+    crowded, alone = _crowded(prints, other), F.lit([0])
 
     emitted = prints.select("print", F.explode(F.lit([0, *across])).alias("mask"))
-    near = dealt(emitted.select("print", "mask", F.col("print").bitwiseXOR(F.col("mask")).alias("code")))
-    alone = F.lit([0])
+    near = emitted.select("print", F.col("print").bitwiseXOR(F.col("mask")).alias("code"))
     masks = F.when(F.col("print") == F.col("code"), F.lit([0, *ball])).otherwise(alone)
-    group = Window.partitionBy("half", "variant")
-    hubs = variants(near, masks).withColumn("hub", F.min("print").over(group))
+    meet = ["half", "salt", "variant"]
+    hubs = _met_at(near, masks, other, crowded).withColumn("hub", F.min("print").over(Window.partitionBy(*meet)))
     found = hubs.select("hub", "print") if inner else None
     if distance % 2:
         # Even fingerprints flip one bit more than the others; that makes the parity of a meeting.
@@ -128,14 +157,12 @@ def _met(prints: DataFrame, own: range, other: range, distance: int, *, inner: b
         far = prints.where(F.bit_count("print") % 2 == 0).withColumn("code", F.col("print"))
         if distance == 1:  # flips of both halves: one row for each
             each = far.select("print", F.explode(F.lit(outer)).alias("flip"))
-            far = dealt(each.select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("code")))
-            far = variants(far, alone)
+            far = _met_at(each.select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("code")), alone, other, crowded)
         else:
-            far = variants(dealt(far), F.lit(outer))
+            far = _met_at(far, F.lit(outer), other, crowded)
         parity = 1 if distance == 1 else 0
         meeting = hubs.where("hub = print").where(F.bit_count("variant") % 2 == parity)
-        met = far.join(meeting.select("half", "variant", "hub").hint("shuffle_hash"), ["half", "variant"])
-        met = met.select("hub", "print")
+        met = far.join(meeting.select(*meet, "hub").hint("shuffle_hash"), meet).select("hub", "print")
         found = met if found is None else found.unionAll(met)
     return found
 
@@ -165,8 +192,7 @@ def grouped(
         documents.select(col(doc_id).alias("doc_id"), fingerprint(col(text), words).alias("print"))
     )
     rooted = _rooted(prints, F.col("doc_id"), distance)
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_print = rooted.join(smallest, "root").select("print", "root", "component_id")
+    by_print = with_least(rooted, "root", "print", "first", "component_id").select("print", "root", "component_id")
     return prints.join(by_print, "print").select(
         "doc_id",
         hexadecimal(F.col("print")).alias("fingerprint"),
