@@ -412,9 +412,9 @@ def test_rotation_keeps_the_order_of_crowded_parts(spark):
     with duckdb.connect() as db:
         db.register("conversations", turns.toArrow())
         listed = db.sql(corpus.ROTATION).fetchall()
-    # The SQL may give the spans of equal turns in any order.
-    numbers = lambda spans: sorted(map(int, spans.split(",")))
-    expected = {tuple(r[:3]): (r[4], r[5], numbers(r[6]), numbers(r[7]), r[8]) for r in listed}
+        whole = db.sql(corpus.ROTATION.replace("// 256", "// 1000000")).fetchall()  # a part in one piece
+    numbers = lambda spans: list(map(int, spans.split(",")))
+    expected = {tuple(r[:3]): (r[4], r[5], numbers(r[6]), numbers(r[7]), r[8]) for r in whole}
     found = chat.rotated(turns.repartition(7)).collect()
     joined = {}
     for r in sorted(found, key=lambda r: r.piece):
@@ -431,6 +431,11 @@ def test_rotation_keeps_the_order_of_crowded_parts(spark):
     for n, *_, pieces in joined.values():
         assert pieces == [(i, min(256, n - 256 * i)) for i in range(-(-n // 256))]
 
+    # Piece by piece as well.
+    joined = lambda spans: ",".join(map(str, spans))
+    rows = [(r.conversation, r.assistant, r.part, r.piece, r.n_turns, r.text, joined(r.starts), joined(r.stops), joined(r["mask"])) for r in found]
+    assert sorted(rows, key=repr) == sorted(listed, key=repr)
+
 
 def test_hamming_matches_brute_force(spark):
     rng = np.random.default_rng(4)

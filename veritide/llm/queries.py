@@ -147,17 +147,19 @@ written AS (
       ELSE 'user name=' || t.speaker END || chr(10) AS head,
     CAST(t.speaker = p.assistant AS INTEGER) AS learnt
   FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, assistant, part ORDER BY turn NULLS LAST, speaker, content) - 1 AS place
+  FROM written),
 placed AS (
-  SELECT *, sum(length(head) + length(content) + 11) OVER (
-    PARTITION BY conv_id, assistant, part ORDER BY turn NULLS LAST, speaker, content
-    ROWS UNBOUNDED PRECEDING) AS last
-  FROM written)
-SELECT conv_id, assistant, part, CAST(0 AS BIGINT) AS piece, count(*) AS n_turns,
-  string_agg(head || content || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS LAST, speaker, content) AS text,
-  string_agg(CAST(CAST(last - 11 - length(content) AS BIGINT) AS VARCHAR), ',' ORDER BY turn NULLS LAST, speaker, content) AS starts,
-  string_agg(CAST(CAST(last - 11 AS BIGINT) AS VARCHAR), ',' ORDER BY turn NULLS LAST, speaker, content) AS stops,
-  string_agg(CAST(learnt AS VARCHAR), ',' ORDER BY turn NULLS LAST, speaker, content) AS mask
-FROM placed GROUP BY conv_id, assistant, part
+  SELECT *, place // 256 AS piece, sum(length(head) + length(content) + 11) OVER (
+    PARTITION BY conv_id, assistant, part, place // 256 ORDER BY place ROWS UNBOUNDED PRECEDING) AS last
+  FROM numbered)
+SELECT conv_id, assistant, part, CAST(piece AS BIGINT) AS piece, count(*) AS n_turns,
+  string_agg(head || content || '<|im_end|>' || chr(10), '' ORDER BY place) AS text,
+  string_agg(CAST(CAST(last - 11 - length(content) AS BIGINT) AS VARCHAR), ',' ORDER BY place) AS starts,
+  string_agg(CAST(CAST(last - 11 AS BIGINT) AS VARCHAR), ',' ORDER BY place) AS stops,
+  string_agg(CAST(learnt AS VARCHAR), ',' ORDER BY place) AS mask
+FROM placed GROUP BY conv_id, assistant, part, piece
 """
 
 #: All pairs of a query with other rows, by brute force: signs compared one by one.
