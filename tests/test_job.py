@@ -150,3 +150,9 @@ def test_results_that_do_not_belong_together_are_refused(spark, tmp_path, custom
         run_job(spark, None, out, AS_OF, stages=["clean_and_revalidate"])
     with pytest.raises(StageFailed, match="needs clean_and_revalidate"):
         run_job(spark, None, out, AS_OF, stages=["mask_pii"])
+
+
+def test_command_line_reads_parquet(spark, tmp_path, capsys, customers, valid_rows):
+    customers(*valid_rows).drop("row_id").write.parquet(str(tmp_path / "raw"))
+    main(["run", str(tmp_path / "raw"), str(tmp_path / "out"), "--format", "parquet", "--as-of", "2026-01-01", "--stage", "sense_raw_data"])
+    assert "'row_count': 3" in capsys.readouterr().out
