@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 from veritide.llm import bpe, chat, graph_ann, hamming, kd_shards, rans, simhash
 from veritide.llm import queries as corpus
+from veritide.llm.common import setting
 from veritide.llm.components import components, with_least
 from veritide.llm.vocabulary import Spec
 
@@ -295,6 +297,61 @@ def test_long_texts_match_the_library(monkeypatch):
         assert np.frombuffer(other.packed(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("known", [True, False])
+def test_texts_encoded_together_match_the_library(monkeypatch, known):
+    monkeypatch.setattr(rans, "WORDS", 3)
+    monkeypatch.setattr(rans, "GROUP", 7)
+    library, other, rng = Tokenizer.from_file(PATH), rans.Library(Spec.read(PATH)), random.Random(8)
+    if not known:  # as if no id started with a space
+        other.starts = np.zeros_like(other.starts)
+    letters = [*" \n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000sdtlmvre'.,!?123abcé字\U0001f642²½Ⅷʰ|<>Ġÿ\x00", "<|endoftext|>", "  ", "'s"]
+    words = ["the", "naïve", "字字", "x" * 300, "", "\n", "a\n", "it's", "12", "\u3000", "\x1cq", "b.\nC", "a\n<|endoftext|>\nb", "$$$", "of,###"]
+    texts = [None, "", " ", "  ", "\n", "a ", " a", "<|endoftext|>", " <|endoftext|> "]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 24))) for _ in range(1500)]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    for some in (texts, texts[:1], [" ", "  b"], ["plain words"]):
+        expected = [library.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert [x.tolist() for x in other.all_packed(pa.array(some, pa.string()))] == expected
+    assert [x.tolist() for x in other.all_packed(pa.array(texts, pa.string()).slice(3, 9))] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts[3:12]
+    ]
+
+
+def test_a_word_of_many_texts_is_encoded_once():
+    other, given = rans.Library(Spec.read(PATH)), []
+
+    class Noted:
+        def __init__(self, whole):
+            self.whole = whole
+
+        def encode_batch_fast(self, inputs, **options):
+            given.extend(w for i in inputs for w in i.split())
+            return self.whole.encode_batch_fast(inputs, **options)
+
+    other.words, other.model = Noted(other.words), None  # pieces don't go to the model one by one
+    made = other.all_packed(pa.array([f"x{i} the naïve word of word{chr(97 + i % 26)}" for i in range(500)]))
+    assert len(made) == 500 and len(given) == len(set(given)) == 30
+
+
+def test_texts_are_taken_in_slices_of_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(rans, "SLICE", 10)
+    texts = ["a" * 4, None, "b" * 6, "c" * 25, "", "d" * 9, "éé", "e"]
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    slices = [s.column("text").to_pylist() for s in rans._slices(iter([batch, batch.slice(0, 0)]))]
+    assert [t for s in slices for t in s] == texts
+    assert all(len(s) == 1 or sum(len((t or "").encode()) for t in s) <= 10 for s in slices) and len(slices) == 4
+
+
+def test_decoded_ids_are_not_shuffled(spark, tmp_path):
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    rans.write_tokens(docs, Spec.read(PATH), str(tmp_path / "ids"), ranges=3)
+    back = rans.read_tokens(spark, str(tmp_path / "ids"))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = back._sc._jvm.PythonSQLUtils.explainString(back._jdf.queryExecution(), "simple")
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [r.doc_id for r in back.orderBy("start").collect()] == list(range(50))
+
+
 def test_what_encoders_remember_is_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(bpe, "CHUNKS_KEPT", 200_000)
     monkeypatch.setattr(bpe, "PIECES_KEPT", 200_000)

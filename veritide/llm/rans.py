@@ -28,11 +28,12 @@ from operator import attrgetter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritide.llm.common import col
-from veritide.llm.vocabulary import PIECE, Recent, Spec, byte_letters, plain_pieces, stretches
+from veritide.llm.vocabulary import CUT, PIECE, Recent, Spec, byte_letters, plain_pieces, stretches
 
 SEGMENT = 1 << 21
 BLOCK = 1 << 18
@@ -41,6 +42,12 @@ END = 0
 #: Bytes that one generation of what a task remembers takes.
 CHUNKS_KEPT = 40 << 20
 PIECES_KEPT = 8 << 20
+#: Bytes of text that are encoded together, chunks given to the library at once, and chunks in one of its inputs.
+SLICE = 1 << 24
+GROUP = 50_000
+WORDS = 1000
+#: Fixed value: a space before white space or at the end, where not every space is a cut.
+WIDE = r" (?:[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\z)"
 LOW = np.uint64(1 << 31)
 ID = attrgetter("id")
 MAGIC = b"VTRANS1\n"
@@ -198,31 +205,41 @@ def unpacked(body: bytes) -> tuple[list[int | None], list[np.ndarray]]:
 
 
 def _models(spec: Spec) -> tuple:
-    """The library's tokenizer and BPE model, made once for a Python worker; their size is the vocabulary's."""
+    """The library's tokenizer, its BPE model, a tokenizer that gives the model what stands between spaces, the added
+    tokens, and which ids start with a space. Made once for a Python worker; their size is the vocabulary's."""
     kept = sys.modules.setdefault("_veritide_models", types.ModuleType("_veritide_models")).__dict__
     if kept.get("content") != spec.content:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         tokenizer, parsed = Tokenizer.from_str(spec.content), spec.parsed()
         tokenizer.no_truncation()
         tokenizer.no_padding()
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["model"]["merges"]]
+        vocab = parsed["model"]["vocab"]
         # The library's own memory of pieces would be asked in vain: pieces come here once.
-        model = models.BPE(parsed["model"]["vocab"], merges, cache_capacity=0)
+        model = models.BPE(vocab, merges, cache_capacity=0)
+        words = Tokenizer(model)
+        words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         added = [t["content"] for t in parsed.get("added_tokens", [])]
-        kept.update(content=spec.content, models=(tokenizer, model, added))
+        starts = np.zeros(max([*vocab.values(), *(t["id"] for t in parsed.get("added_tokens", []))]) + 1, bool)
+        space = byte_letters()[ord(" ")]
+        starts[[i for x, i in vocab.items() if x.startswith(space)]] = True
+        kept.update(content=spec.content, models=(tokenizer, model, words, added, starts))
     return kept["models"]
 
 
 class Library:
     """Ids by the tokenizers library; what it made of a chunk lately is remembered. Pieces go to its
-    BPE model; the start of a text and what holds an added token go through the whole tokenizer."""
+    BPE model; the start of a text and what holds an added token go through the whole tokenizer. The
+    chunks of a slice of texts are given to it together."""
 
     def __init__(self, spec: Spec):
-        self.tokenizer, self.model, self.added = _models(spec)
+        self.tokenizer, self.model, self.words, self.added, self.starts = _models(spec)
+        self.letter = np.array([ord(x) for x in byte_letters()], "<u4")
+        self.letter[ord(" ")] = ord(" ")  # here a space only parts words
         self.letters = {b: ord(x) for b, x in enumerate(byte_letters())}
         self.space = byte_letters()[ord(" ")]
         self.by_chunk = Recent(self._chunk, CHUNKS_KEPT)
@@ -268,10 +285,95 @@ class Library:
     def packed(self, text: str | None) -> bytes:
         return stretches(text or "", self._first, self.by_chunk)
 
+    def _lettered(self, words: list[str]) -> str:
+        letters = self.letter[np.frombuffer(" ".join(words).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        return self.space + letters.replace(" ", " " + self.space)
+
+    def _together(self, chunks: list[str], letters: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of chunks without a space, each with one before it, and how many of each. Only that space starts an id
+        with one. Chunks of letters alone need no more than the model."""
+        ids, sizes = [], []
+        for at in range(0, len(chunks), GROUP):
+            group = chunks[at : at + GROUP]
+            parts = [group[i : i + WORDS] for i in range(0, len(group), WORDS)]
+            if letters:
+                found = self.words.encode_batch_fast([self._lettered(p) for p in parts], add_special_tokens=False)
+            else:
+                found = self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False)
+            flat = np.concatenate([np.array(e.ids, "<u4") for e in found])
+            starts = np.flatnonzero(self.starts[flat])
+            if len(starts) == len(group):
+                ids.append(flat)
+                sizes.append(np.diff(starts, append=len(flat)))
+            else:  # a vocabulary without the space
+                alone = [np.array(self.tokenizer.encode(" " + c, add_special_tokens=False).ids, "<u4") for c in group]
+                ids += alone
+                sizes += self._counted(alone)[1]
+        return ids, sizes
+
+    @staticmethod
+    def _counted(ids: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        return ids, [np.array([len(x) for x in ids], np.int64)]
+
+    def all_packed(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Chunks are numbered, each of them is encoded once, and their ids are put in
+        the order of the texts."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        wide = np.asarray(pc.match_substring_regex(texts, WIDE))
+        cut = pa.array([CUT.split(t) for t in texts.filter(pa.array(wide)).to_pylist()], pa.list_(pa.large_string()))
+        parts = pa.concat_arrays([pc.split_pattern(texts.filter(pa.array(~wide)), " "), cut])
+        bounds = np.asarray(parts.offsets)
+        first = np.zeros(len(parts.values), bool)
+        first[bounds[:-1]] = True
+        numbered = parts.values.filter(pa.array(~first)).dictionary_encode()
+        chunks = numbered.dictionary
+        # Letters alone, a space inside, and the rest.
+        kind = np.where(np.asarray(pc.match_substring(chunks, " ")), 1, 2)
+        kind[np.asarray(pc.match_substring_regex(chunks, r"^\p{L}+$"))] = 0
+        words, spaced, others = (chunks.filter(pa.array(kind == k)).to_pylist() for k in range(3))
+        heads = self.tokenizer.encode_batch_fast(parts.values.filter(pa.array(first)).to_pylist(), add_special_tokens=False)
+        ids, sizes = [], []
+        for found in (
+            self._together(words, True),
+            self._counted([np.frombuffer(self._chunk(c), "<u4") for c in spaced]),
+            self._together(others, False),
+            self._counted([np.array(e.ids, "<u4") for e in heads]),
+        ):
+            ids += found[0]
+            sizes += found[1]
+        entry = np.empty(len(chunks), np.int64)
+        entry[np.argsort(kind, kind="stable")] = np.arange(len(chunks))
+        entries = np.empty(len(first), np.int64)
+        entries[~first] = entry[np.asarray(numbered.indices)]
+        entries[first] = len(chunks) + np.arange(len(heads))
+        ends = np.concatenate([[0], np.cumsum(4 * np.concatenate(sizes).astype(np.int64))])
+        data = np.concatenate(ids)
+        table = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
+        )
+        taken = table.take(pa.array(entries))
+        offsets, flat = (np.frombuffer(b, kind) for b, kind in zip(taken.buffers()[1:], ("<i8", "<u4"), strict=True))
+        at = offsets[bounds] // 4
+        place = np.empty(len(wide), np.int64)  # texts with wide spaces came last
+        place[np.argsort(wide, kind="stable")] = np.arange(len(wide))
+        return [flat[at[i] : at[i + 1]] for i in place]
+
 
 FILE = "part int, first long, n_docs long, n_tokens long, body binary"
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of about ``SLICE`` bytes of text at a time."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)), dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            past = SLICE + (int(ends[at - 1]) if at else 0)
+            n = max(1, int(np.searchsorted(ends, past, "right")) - at)
+            yield batch.slice(at, n)
+            at += n
+
+
 def _segments(spec: Spec):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -287,11 +389,11 @@ def _segments(spec: Spec):
             arrays = [pa.array([v], kind) for v, kind in zip(values, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, names=["part", "first", "n_docs", "n_tokens", "body"])
 
-        end = np.array([END], "<u4").tobytes()
-        for batch in batches:
-            for doc_id, is_id, text in zip(*(batch.column(c) for c in ("doc_id", "known", "text")), strict=True):
-                ids.append(doc_id.as_py() if is_id.as_py() else None)
-                tokens.append(np.frombuffer(library.packed(text.as_py()) + end, "<u4"))
+        for batch in _slices(batches):
+            own = (batch.column(c).to_pylist() for c in ("doc_id", "known"))
+            for doc_id, is_id, found in zip(*own, library.all_packed(batch.column("text")), strict=True):
+                ids.append(doc_id if is_id else None)
+                tokens.append(np.append(found, np.uint32(END)))
                 held += len(tokens[-1])
                 if held >= SEGMENT:
                     yield row()
@@ -347,6 +449,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     found = files.select("part", "first", "body").mapInPandas(
         read, "part int, doc_id long, start long, n_tokens long, ids binary"
     )
-    return found.join(offsets, "part").select(
+    # A row for each range: sent to where documents are, so their ids are not shuffled.
+    return found.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids"
     )
